@@ -1,0 +1,38 @@
+"""Dense numbers in a given order, without sorting a whole group in one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from rowtide.session import scratch
+
+
+def number_rows(df: DataFrame, group: str, order: list[str], out: str) -> DataFrame:
+    """Number the rows of each group 0, 1, 2, ... in ``order`` (total within the group).
+
+    Rows are range-partitioned on group and order, so a group of any size spreads over many
+    tasks, each holding one stretch of it. The stretches are written once, because their
+    bounds come from sampling and must not be drawn again; then a row's number is its
+    position in its stretch plus the size of the stretches before.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, "numbered")
+    stretched = (
+        df.repartitionByRange(group, *order)
+        .sortWithinPartitions(group, *order)
+        .withColumn("_slice", F.spark_partition_id())
+        .withColumn("_row", F.monotonically_increasing_id())
+    )
+    stretched.write.parquet(path)
+    staged = spark.read.schema(stretched.schema).parquet(path)
+    before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = (
+        staged.groupBy(group, "_slice")
+        .agg(F.count("*").alias("_size"), F.min("_row").alias("_first"))
+        .select(group, "_slice", "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
+    )
+    # At most one row per range partition plus one per group, whatever the number of rows.
+    placed = staged.join(F.broadcast(stretches), [group, "_slice"])
+    number = F.col("_base") + F.col("_row") - F.col("_first")
+    return placed.withColumn(out, number).drop("_slice", "_row", "_base", "_first")
