@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowtide.operators.parse import PLACE
+from rowtide.spec import PLACE
 
 
 def latest_per_key(rows: DataFrame, key: str, order: tuple[str, ...] = PLACE) -> DataFrame:

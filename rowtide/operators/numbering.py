@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowtide.session import scratch
+from rowtide.session import pinned, scratch
 
 
 def number_rows(df: DataFrame, group: str, order: list[str], out: str) -> DataFrame:
@@ -14,7 +14,8 @@ def number_rows(df: DataFrame, group: str, order: list[str], out: str) -> DataFr
     Rows are range-partitioned on group and order, so a group of any size spreads over many
     tasks, each holding one stretch of it. The stretches are written once, because their
     bounds come from sampling and must not be drawn again; then a row's number is its
-    position in its stretch plus the size of the stretches before.
+    position in its stretch plus the size of the stretches before. Of these there are at most
+    one per range partition plus one per group, whatever the number of rows.
     """
     spark = df.sparkSession
     path = scratch(spark, "numbered")
@@ -32,7 +33,6 @@ def number_rows(df: DataFrame, group: str, order: list[str], out: str) -> DataFr
         .agg(F.count("*").alias("_size"), F.min("_row").alias("_first"))
         .select(group, "_slice", "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
     )
-    # At most one row per range partition plus one per group, whatever the number of rows.
-    placed = staged.join(F.broadcast(stretches), [group, "_slice"])
+    placed = staged.join(F.broadcast(pinned(stretches)), [group, "_slice"])
     number = F.col("_base") + F.col("_row") - F.col("_first")
     return placed.withColumn(out, number).drop("_slice", "_row", "_base", "_first")

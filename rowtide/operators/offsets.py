@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.spec import OFFSETS_SCHEMA
+from rowtide.session import pinned
 
 EARLIEST = -2  # Kafka's marker for the start of a partition
 
@@ -15,9 +15,10 @@ def resume_offsets(landed: DataFrame) -> DataFrame:
     return landed.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
 
 
-def furthest(offsets: DataFrame) -> DataFrame:
-    """Combine several sets of resume points."""
-    return offsets.groupBy("partition").agg(F.max("next_offset").alias("next_offset"))
+def advance(points: DataFrame, landed: DataFrame) -> DataFrame:
+    """Resume points moved past newly landed records."""
+    reached = landed.select("partition", (F.col("offset") + 1).alias("next_offset"))
+    return points.unionByName(reached).groupBy("partition").agg(F.max("next_offset").alias("next_offset"))
 
 
 def all_partitions(offsets: DataFrame, partitions: int) -> DataFrame:
@@ -38,25 +39,23 @@ def starting_offsets_json(offsets: DataFrame, topic: str) -> DataFrame:
     return offsets.agg(F.when(F.count("*") > 0, rendered).otherwise("earliest").alias("starting_offsets"))
 
 
-def _beyond(points: dict[int, int]) -> Column:
-    known = F.create_map(*[F.lit(x) for p in points.items() for x in p])
-    start = F.coalesce(F.try_element_at(known, F.col("partition")), F.lit(0))
-    # The second condition is implied by the first, but is one the Parquet reader can use to
-    # skip files and row groups that lie wholly before every resume point.
-    floor = min(points.values())
-    skippable = (F.col("offset") >= floor) | ~F.col("partition").isin(*points)
-    return (F.col("offset") >= start) & skippable
-
-
 def since(records: DataFrame, offsets: DataFrame) -> DataFrame:
     """Records at or after the resume points; a partition without one is read from its start.
 
-    Resume points come to the driver: one row per topic partition, as Kafka's own start
-    option needs them.
+    Resume points come to the driver, one row per topic partition, as Kafka's own start option
+    needs them; for the same reason they can be broadcast whatever the size of the data.
     """
-    points = {row["partition"]: row["next_offset"] for row in offsets.collect()}
-    return records.filter(_beyond(points)) if points else records
-
-
-def no_offsets(spark) -> DataFrame:
-    return spark.createDataFrame([], OFFSETS_SCHEMA)
+    start = pinned(offsets)
+    points = start.collect()
+    if not points:
+        return records
+    # Implied by the join condition below, but in a form the Parquet reader can use to skip
+    # files and row groups that lie wholly before every resume point.
+    floor = min(p["next_offset"] for p in points)
+    maybe_new = (F.col("offset") >= floor) | ~F.col("partition").isin(*[p["partition"] for p in points])
+    return (
+        records.filter(maybe_new)
+        .join(F.broadcast(start), "partition", "left")
+        .filter(F.col("next_offset").isNull() | (F.col("offset") >= F.col("next_offset")))
+        .select(*records.columns)
+    )

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from rowtide.functions.messages import json_object, message_key
 from rowtide.functions.ops import deleted_flag
 from rowtide.functions.times import decode_time
-from rowtide.spec import DELETE, ISO, ORDER, TableSpec, op_in
+from rowtide.spec import DELETE, ISO, ORDER, PLACE, TableSpec, op_in
 
-PLACE = ("kafka_timestamp", "partition", "offset")
 META = ("__source_ts_ms", "__deleted")
 
 
@@ -25,6 +24,16 @@ def decode(topic: DataFrame) -> DataFrame:
     )
 
 
+def key_id(key: Column, path: str) -> Column:
+    """The row key in a message key. A key that is just ``{"id":n}`` is read by pattern, which
+    takes a quarter of the time of JSON parsing; any other goes to the JSON parser."""
+    plain = rf'^\{{"\Q{path}\E": ?(-?(?:0|[1-9][0-9]*))\}}$'
+    return F.coalesce(
+        F.regexp_extract(key, plain, 1).try_cast("long"),
+        F.get_json_object(key, f"$.{path}").try_cast("long"),
+    )
+
+
 def _typed(text: Column, type_name: str, spec: TableSpec, precision: str) -> Column:
     if type_name == "string":
         return text
@@ -49,7 +58,7 @@ def parse(
         raise ValueError(f"tombstones must be ignore or delete, not {tombstones}")
     paths = [spec.key_path, *[f.path for f in spec.fields.values()], "__op", *META]
     texts = [f"_text_{i}" for i in range(len(paths))]
-    read = raw.select("*", F.json_tuple("key", spec.key_path).alias("_key_id")).select(
+    read = raw.withColumn("_key_id", key_id(F.col("key"), spec.key_path)).select(
         "*", F.json_tuple("message", *paths).alias(*texts)
     )
     op = F.col(texts[-3])
@@ -59,7 +68,7 @@ def parse(
         _typed(F.col(text), f.type, spec, precision).alias(name)
         for text, (name, f) in zip(texts[1:], spec.fields.items())
     ]
-    row_key = F.coalesce(F.col("_key_id").try_cast("long"), F.col(texts[0]).try_cast("long"))
+    row_key = F.coalesce(F.col("_key_id"), F.col(texts[0]).try_cast("long"))
     typed = read.select(
         *PLACE,
         "key",

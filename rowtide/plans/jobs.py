@@ -25,7 +25,7 @@ def land(records: DataFrame, raw: RawStore) -> int | None:
 
 def newest_changes(raw: DataFrame, spec: TableSpec, **options: str) -> DataFrame:
     """The latest usable change of each key, with its order."""
-    return latest_per_key(with_order(changes(raw, spec, **options)), spec.key, ("_order",))
+    return with_order(latest_per_key(changes(raw, spec, **options), spec.key))
 
 
 def materialize(
@@ -39,8 +39,9 @@ def materialize(
     if mode not in ("replay", "incremental"):
         raise ValueError(f"mode must be replay or incremental, not {mode}")
     if mode == "replay":
-        records = raw.read()
-        return None if records.isEmpty() else state.rebuild(newest_changes(records, spec, **options))
+        if not raw.records.numbers():
+            return None
+        return state.rebuild(newest_changes(raw.read(), spec, **options))
     records = since(raw.read(), state.applied_offsets())
     return None if records.isEmpty() else state.apply(newest_changes(records, spec, **options))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build(app: str = "rowtide", master: str | None = None, **conf: str) -> SparkSession:
@@ -28,6 +28,12 @@ def utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def pinned(df: DataFrame) -> DataFrame:
+    """A table computed once and kept in the plan. Only for tables whose row count is bounded by
+    the number of topic partitions or tasks, not by the data: its rows pass the driver."""
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
 _local_work: str | None = None
 
 
@@ -48,6 +54,23 @@ def work_dir(spark: SparkSession) -> str:
     return _local_work
 
 
+_scratch: list[str] = []
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables this process has made. Call it when a job is done and nothing
+    that was read from them is used any more."""
+    while _scratch:
+        delete_path(spark, _scratch.pop())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

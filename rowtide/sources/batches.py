@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
+from rowtide.session import delete_path
+
 
 class Batches:
     """Tables written as ``<path>/<prefix>=<number>``, one directory per write.
@@ -40,7 +44,8 @@ class Batches:
     def read(self, after: int = 0, only: int | None = None) -> DataFrame:
         numbers = [n for n in self.numbers() if n > after and only in (None, n)]
         if not numbers:
-            return self.spark.createDataFrame([], self.schema)
+            # The limit lets the optimizer see that there is nothing, and drop what depends on it.
+            return self.spark.createDataFrame([], self.schema).limit(0)
         return self.spark.read.schema(self.schema).parquet(*[self.directory(n) for n in numbers])
 
     def write(self, df: DataFrame, number: int | None = None) -> int:
@@ -52,7 +57,41 @@ class Batches:
         return number
 
     def drop(self, numbers: list[int]) -> None:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
         for n in numbers:
-            where = hadoop.Path(self.directory(n))
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            delete_path(self.spark, self.directory(n))
+
+
+class BucketedBatches(Batches):
+    """Batches whose files are bucketed by a key, so that joining one on the key does not
+    shuffle it. Spark knows buckets only of catalog tables: each batch is an external table
+    over its directory, entered in the session's catalog when it is read."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, prefix: str, key: str, buckets: int):
+        super().__init__(spark, path, schema, prefix)
+        self.key, self.buckets = key, buckets
+
+    def _table(self, number: int) -> str:
+        return "rowtide_" + hashlib.md5(self.directory(number).encode()).hexdigest()
+
+    def read(self, after: int = 0, only: int | None = None) -> DataFrame:
+        numbers = [n for n in self.numbers() if n > after and only in (None, n)]
+        if len(numbers) != 1:
+            return super().read(after, only)
+        table = self._table(numbers[0])
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({self.schema}) USING parquet "
+            f"CLUSTERED BY (`{self.key}`) INTO {self.buckets} BUCKETS LOCATION '{self.directory(numbers[0])}'"
+        )
+        return self.spark.table(table)
+
+    def write(self, df: DataFrame, number: int | None = None) -> int:
+        mode = "error" if number is None else "overwrite"
+        number = self.last() + 1 if number is None else number
+        writer = df.write.mode(mode).format("parquet").bucketBy(self.buckets, self.key)
+        writer.option("path", self.directory(number)).saveAsTable(self._table(number))
+        return number
+
+    def drop(self, numbers: list[int]) -> None:
+        for n in numbers:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(n)}")
+        super().drop(numbers)

@@ -4,26 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.operators.offsets import furthest, no_offsets, resume_offsets
 from rowtide.sources.batches import Batches
-from rowtide.spec import OFFSETS_SCHEMA, RAW_SCHEMA
+from rowtide.sources.points import ResumePoints
+from rowtide.spec import RAW_SCHEMA
 
 SCHEMA_VERSION = 1
 
 
 class RawStore:
-    """Decoded records under ``<base>/version_<v>``, one directory per landing.
-
-    Resume points are derived from the landed records themselves, so records and points cannot
-    disagree. The points as of each landing are kept beside them, and only batches newer than
-    the last kept points are scanned: a landing does not read the history again.
-    """
+    """Decoded records under ``<base>/version_<v>``, one directory per landing."""
 
     def __init__(self, spark: SparkSession, base: str, version: int = SCHEMA_VERSION):
         base = base.rstrip("/")
         self.spark = spark
         self.records = Batches(spark, f"{base}/version_{version}", RAW_SCHEMA)
-        self.points = Batches(spark, f"{base}/offsets_{version}", OFFSETS_SCHEMA)
+        self.points = ResumePoints(spark, f"{base}/offsets_{version}")
 
     @property
     def path(self) -> str:
@@ -36,15 +31,14 @@ class RawStore:
         """Each record once, should a source have delivered it twice."""
         return self.read().dropDuplicates(["partition", "offset"])
 
-    def next_offsets(self, before: int | None = None) -> DataFrame:
-        """Where the next landing starts; ``before`` ignores kept points from that batch on."""
-        complete = set(self.records.numbers())
-        usable = [n for n in self.points.numbers() if n in complete and (before is None or n < before)]
-        kept = max(usable, default=0)
-        known = self.points.read(only=kept) if kept else no_offsets(self.spark)
-        return furthest(known.unionByName(resume_offsets(self.records.read(after=kept))))
+    def _points(self, before: int | None = None) -> DataFrame:
+        return self.points.get(self.records.numbers(), lambda n: self.records.read(after=n), before)
+
+    def next_offsets(self) -> DataFrame:
+        """Where the next landing starts, per topic partition."""
+        return self._points()
 
     def append(self, decoded: DataFrame, number: int | None = None) -> int:
         number = self.records.write(decoded, number)
-        self.points.write(self.next_offsets(before=number), number)
+        self.points.save(self._points(before=number), number)
         return number

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from rowtide.operators.latest import latest_per_key
 from rowtide.operators.merge import absorb, stored_rows
-from rowtide.operators.offsets import furthest
-from rowtide.sources.batches import Batches
-from rowtide.spec import DELETED, ORDER, ORDER_TYPE, TableSpec
+from rowtide.session import pinned
+from rowtide.sources.batches import Batches, BucketedBatches
+from rowtide.sources.points import ResumePoints
+from rowtide.spec import DELETED, ORDER, ORDER_TYPE, STORED_PLACE, TableSpec
 
 
 class StateStore:
@@ -18,13 +19,18 @@ class StateStore:
 
     ``full=N`` directories hold the whole table, ``delta=N`` directories the latest change of
     the keys touched by one run. A run that touches few keys writes only those; readers merge
-    them over the last full version, and ``compact`` folds them in.
+    them over the last full version, and ``compact`` folds them in. With ``buckets`` full
+    versions are bucketed by key, so merging into one shuffles the changes but not the table.
     """
 
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec):
-        self.spark, self.spec = spark, spec
-        self.fulls = Batches(spark, path, spec.stored_schema, "full")
+    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int | None = None):
+        self.spark, self.spec, self.buckets = spark, spec, buckets
+        if buckets:
+            self.fulls = BucketedBatches(spark, path, spec.stored_schema, "full", spec.key, buckets)
+        else:
+            self.fulls = Batches(spark, path, spec.stored_schema, "full")
         self.deltas = Batches(spark, path, spec.stored_schema, "delta")
+        self.points = ResumePoints(spark, path)
 
     def _next(self) -> int:
         return max(self.fulls.last(), self.deltas.last()) + 1
@@ -47,50 +53,58 @@ class StateStore:
         base = self._base()
         newer = self.deltas.read(after=base)
         if not base:
-            return latest_per_key(newer, self.spec.key, (ORDER,))
+            return latest_per_key(newer, self.spec.key, STORED_PLACE)
         full = self.fulls.read(only=base)
         if not self.pending_deltas():
             return full
-        return absorb(full, latest_per_key(newer, self.spec.key, (ORDER,)), self.spec)
+        return absorb(full, latest_per_key(newer, self.spec.key, STORED_PLACE), self.spec)
 
     def current(self) -> DataFrame:
         """The state table."""
         return self.rows().filter(~F.col(DELETED)).select(*self.spec.columns)
 
-    def applied_offsets(self) -> DataFrame:
+    def _places(self, after: int) -> DataFrame:
+        stored = self.fulls.read(after=after).unionByName(self.deltas.read(after=after))
+        return stored.filter(F.col(ORDER).isNotNull()).select(f"{ORDER}.partition", f"{ORDER}.offset")
+
+    def applied_offsets(self, before: int | None = None) -> DataFrame:
         """Next offset to apply per topic partition, derived from the orders of the rows.
 
-        A partition's last record is the latest change of its key, hence still in the store.
+        A partition's last usable record is the latest change of its key, hence in the store.
         """
-        stored = [self.fulls.read(only=self._base()), self.deltas.read(after=self._base())]
-        points = [
-            d.filter(F.col(ORDER).isNotNull())
-            .groupBy(F.col(f"{ORDER}.partition").alias("partition"))
-            .agg((F.max(f"{ORDER}.offset") + 1).alias("next_offset"))
-            for d in stored
-        ]
-        return furthest(points[0].unionByName(points[1]))
+        return self.points.get(self.versions(), self._places, before)
+
+    def _commit(self, kind: Batches, rows: DataFrame) -> int:
+        number = kind.write(rows, self._next())
+        self.points.save(self.applied_offsets(before=number), number)
+        return number
 
     def load(self, table: DataFrame) -> int:
         """Start from a plain table whose rows have no change history."""
         rows = table.select(
             *self.spec.columns, F.lit(False).alias(DELETED), F.lit(None).cast(ORDER_TYPE).alias(ORDER)
         )
-        return self.fulls.write(rows, self._next())
+        return self._commit(self.fulls, rows)
 
     def apply(self, latest: DataFrame) -> int:
         """Record the latest ordered change of each touched key."""
-        return self.deltas.write(stored_rows(latest, self.spec), self._next())
+        return self._commit(self.deltas, stored_rows(latest, self.spec))
 
     def rebuild(self, latest: DataFrame) -> int:
         """Merge many changes at once and write the whole table."""
         incoming = stored_rows(latest, self.spec)
+        if self.buckets:
+            # Match the table's buckets, or Spark may shuffle the table to match the changes.
+            incoming = incoming.repartition(self.buckets, self.spec.key)
         rows = absorb(self.rows(), incoming, self.spec, "full_outer") if self.exists() else incoming
-        return self.fulls.write(rows, self._next())
+        return self._commit(self.fulls, rows)
 
     def compact(self) -> int:
         """Write the merged table as a new full version."""
-        return self.fulls.write(self.rows(), self._next())
+        points = pinned(self.applied_offsets())
+        number = self.fulls.write(self.rows(), self._next())
+        self.points.save(points, number)
+        return number
 
     def purge(self, keep: int = 1) -> None:
         """Delete what the newest ``keep`` full versions do not need. Readers of older
@@ -99,5 +113,6 @@ class StateStore:
         if len(fulls) < keep:
             return
         oldest = fulls[-keep]
+        self.points.drop([n for n in self.points.kept.numbers() if n < oldest])
         self.fulls.drop([n for n in fulls if n < oldest])
         self.deltas.drop([n for n in self.deltas.numbers() if n < oldest])

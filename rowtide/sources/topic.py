@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowtide.operators.numbering import number_rows
 from rowtide.operators.offsets import resume_offsets
+from rowtide.session import pinned
 from rowtide.sources.batches import Batches
 from rowtide.spec import TOPIC_SCHEMA
 
@@ -43,9 +44,8 @@ class Topic:
             spread = F.pmod(F.hash("key"), F.lit(self.partitions)).cast("int")
             messages = messages.withColumn("partition", spread)
         numbered = number_rows(messages, "partition", order, "_n")
-        # One row per topic partition.
-        ends = F.broadcast(resume_offsets(self.read()))
-        sent = numbered.join(ends, "partition", "left").withColumn(
+        ends = pinned(resume_offsets(self.read()))  # one row per topic partition
+        sent = numbered.join(F.broadcast(ends), "partition", "left").withColumn(
             "offset", F.coalesce("next_offset", F.lit(0)) + F.col("_n")
         )
         sent = sent.drop("_n", "next_offset").withColumn("topic", F.lit(self.name))

@@ -14,6 +14,10 @@ SNAPSHOT, CREATE, UPDATE, DELETE = "r", "c", "u", "d"
 # Bookkeeping columns that keep a state row's place in the change order.
 ORDER, DELETED = "_order", "_deleted"
 
+# A change's place in the order of changes: total for the changes of a key.
+PLACE = ("kafka_timestamp", "partition", "offset")
+STORED_PLACE = tuple(f"{ORDER}.{column}" for column in PLACE)
+
 # Fixed schemas of the stored tables.
 TOPIC_SCHEMA = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
 RAW_SCHEMA = "partition int, offset long, key string, message string, kafka_timestamp timestamp"

@@ -29,7 +29,7 @@ from rowtide.sources.polled import Watermark, next_watermark, poll_changes
 from rowtide.sources.raw import RawStore
 from rowtide.sources.state import StateStore
 from rowtide.sources.topic import Topic
-from rowtide.spec import DELETE, ORDER, Field, TableSpec
+from rowtide.spec import DELETE, Field, TableSpec
 from rowtide.streaming import streams
 from rowtide.workload import tables as t
 
@@ -229,11 +229,13 @@ def merge_apply(spark, sf_dir):
 
 @query
 def merge_lookup(spark, sf_dir):
-    """The same merge with the changes written first and looked up from the state."""
+    """The same merge by a state table without history: the changes are written beside the
+    state and looked up when it is read."""
     state, incoming = _orders_split(spark, sf_dir)
-    path = scratch(spark, "changes")
-    incoming.write.parquet(path)
-    return apply_changes(state, spark.read.parquet(path), t.ORDER_SPEC, "auto")
+    store = StateStore(spark, scratch(spark, "state"), t.ORDER_SPEC)
+    store.load(state)
+    store.apply(with_order(incoming))
+    return store.current()
 
 
 @query
@@ -248,7 +250,7 @@ def late_changes(spark, sf_dir):
     rows = t.order_rows(spark, sf_dir)
     early = F.col("kafka_timestamp") < t.at(t.ORDERS_CUT)
     older, newer = (
-        stored_rows(latest_per_key(with_order(half), "id", (ORDER,)), t.ORDER_SPEC)
+        stored_rows(with_order(latest_per_key(half, "id")), t.ORDER_SPEC)
         for half in (rows.filter(early), rows.filter(~early))
     )
     merged = absorb(newer, older, t.ORDER_SPEC, "full_outer")
