@@ -3,17 +3,20 @@ between repeats work but loses none."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 
 from rowtide.operators.capture import changelog_envelope, poll_envelope, render_envelope, snapshot_messages
 from rowtide.operators.latest import latest_per_key
-from rowtide.operators.offsets import since
+from rowtide.operators.offsets import all_partitions, since, starting_offsets_json
 from rowtide.operators.parse import changes, decode, with_order
+from rowtide.session import pinned
 from rowtide.sources.changelog import OLDEST_FIRST, SentLog, pending
 from rowtide.sources.polled import Watermark, next_watermark, poll_changes
 from rowtide.sources.raw import RawStore
 from rowtide.sources.state import StateStore
-from rowtide.sources.topic import Topic
+from rowtide.sources.topic import KafkaTopic, Topic, read_kafka
 from rowtide.spec import TableSpec
 
 
@@ -23,6 +26,15 @@ def land(records: DataFrame, raw: RawStore) -> int | None:
     return None if new.isEmpty() else raw.append(new)
 
 
+def land_kafka(raw: RawStore, servers: str, topic: str, partitions: int) -> int | None:
+    """The same from a Kafka topic with the given number of partitions, all of which the start
+    option has to name; needs Spark's Kafka connector."""
+    points = all_partitions(raw.next_offsets(), partitions)
+    start = starting_offsets_json(points, topic).first()["starting_offsets"]
+    new = decode(read_kafka(raw.spark, servers, topic, start))
+    return None if new.isEmpty() else raw.append(new)
+
+
 def newest_changes(raw: DataFrame, spec: TableSpec, **options: str) -> DataFrame:
     """The latest usable change of each key, with its order."""
     return with_order(latest_per_key(changes(raw, spec, **options), spec.key))
@@ -41,21 +53,27 @@ def materialize(
     if mode == "replay":
         if not raw.records.numbers():
             return None
-        return state.rebuild(newest_changes(raw.read(), spec, **options))
-    records = since(raw.read(), state.applied_offsets())
-    return None if records.isEmpty() else state.apply(newest_changes(records, spec, **options))
+        points = pinned(raw.next_offsets())
+        return state.rebuild(newest_changes(raw.read(), spec, **options), points)
+    records, points = raw.read_since(state.applied_offsets())
+    return None if records.isEmpty() else state.apply(newest_changes(records, spec, **options), points)
 
 
-def snapshot(table: DataFrame, topic: Topic, spec: TableSpec, at: Column | None = None) -> DataFrame:
+def snapshot(table: DataFrame, topic: Topic | KafkaTopic, spec: TableSpec, at: Column | None = None) -> DataFrame:
     """Send every row of a table as operation ``r``."""
     return topic.publish(snapshot_messages(table, spec, at), ["row_key"])
 
 
 def drain(
-    changelog: DataFrame, sent: SentLog, topic: Topic, spec: TableSpec, limit: int | None = None
+    changelog: DataFrame,
+    sent: SentLog,
+    topic: Topic | KafkaTopic,
+    spec: TableSpec,
+    limit: int | None = None,
+    since: Column | None = None,
 ) -> DataFrame:
     """Send waiting changes, oldest first, then mark exactly those as sent."""
-    envelope = changelog_envelope(pending(changelog, sent.read(), limit), spec)
+    envelope = changelog_envelope(pending(changelog, sent.read(), limit, since), spec)
     published = topic.publish(
         render_envelope(envelope, spec, "changed_at", "change_id", "changed_at"), OLDEST_FIRST
     )
@@ -67,13 +85,15 @@ def drain(
 def poll(
     table: DataFrame,
     watermark: Watermark,
-    topic: Topic,
+    topic: Topic | KafkaTopic,
     spec: TableSpec,
     overlap: str | None = None,
     updated: str = "updated_at",
+    initial_watermark: datetime | None = None,
 ) -> DataFrame:
-    """Send the rows updated since the last poll, then save the new watermark."""
-    last = watermark.get()
+    """Send the rows updated since the last poll, then save the new watermark. The first poll
+    reads the whole table, or what was updated after ``initial_watermark``."""
+    last = watermark.get() or initial_watermark
     envelope = poll_envelope(poll_changes(table, last, overlap, updated), spec, updated)
     published = topic.publish(
         render_envelope(envelope, spec, updated, spec.key, updated), [updated, spec.key]

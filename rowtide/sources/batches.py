@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowtide.session import delete_path
 
@@ -41,13 +42,29 @@ class Batches:
     def directory(self, number: int) -> str:
         return f"{self.path}/{self.prefix}={number:08d}"
 
-    def read(self, after: int = 0, only: int | None = None) -> DataFrame:
-        numbers = [n for n in self.numbers() if n > after and only in (None, n)]
+    def chosen(self, after: int = 0, upto: int | None = None) -> list[int]:
+        return [n for n in self.numbers() if n > after and (upto is None or n <= upto)]
+
+    def read(self, after: int = 0, upto: int | None = None) -> DataFrame:
+        """The rows of all complete batches, or of those in a range of numbers."""
+        numbers = self.chosen(after, upto)
         if not numbers:
             # The limit lets the optimizer see that there is nothing, and drop what depends on it.
             return self.spark.createDataFrame([], self.schema).limit(0)
         return self.spark.read.schema(self.schema).parquet(*[self.directory(n) for n in numbers])
 
+    def read_one(self, number: int) -> DataFrame:
+        return self.read(after=number - 1, upto=number)
+
+    def read_numbered(self) -> DataFrame:
+        """The rows of all complete batches with a ``number`` column."""
+        if not self.numbers():
+            return self.read().withColumn("number", F.lit(0))
+        numbered = self.spark.read.schema(f"{self.schema}, {self.prefix} int").option("basePath", self.path)
+        return numbered.parquet(*[self.directory(n) for n in self.numbers()]).withColumnRenamed(
+            self.prefix, "number"
+        )
+
     def write(self, df: DataFrame, number: int | None = None) -> int:
         """Write the next batch. Giving the number again replaces that batch, which makes the
         retry of a streaming micro-batch harmless."""
@@ -73,10 +90,10 @@ class BucketedBatches(Batches):
     def _table(self, number: int) -> str:
         return "rowtide_" + hashlib.md5(self.directory(number).encode()).hexdigest()
 
-    def read(self, after: int = 0, only: int | None = None) -> DataFrame:
-        numbers = [n for n in self.numbers() if n > after and only in (None, n)]
+    def read(self, after: int = 0, upto: int | None = None) -> DataFrame:
+        numbers = self.chosen(after, upto)
         if len(numbers) != 1:
-            return super().read(after, only)
+            return super().read(after, upto)
         table = self._table(numbers[0])
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({self.schema}) USING parquet "

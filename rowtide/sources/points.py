@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowtide.operators.offsets import advance
 from rowtide.session import pinned
@@ -30,11 +31,18 @@ class ResumePoints:
         records stored after a version; points of version ``before`` and later are not trusted."""
         usable = [n for n in self.kept.numbers() if n in set(versions) and (before is None or n < before)]
         last = max(usable, default=0)
-        points = self.kept.read(only=last)
+        points = self.kept.read_one(last)
         return points if max(versions, default=0) <= last else advance(points, places(last))
 
     def save(self, points: DataFrame, version: int) -> None:
         self.kept.write(pinned(points).coalesce(1), version)
 
+    def first_beyond(self, points: DataFrame) -> int | None:
+        """The first version that reaches past ``points``; None if no version with kept points does."""
+        reached = points.withColumnRenamed("next_offset", "_reached")
+        ahead = self.kept.read_numbered().join(F.broadcast(reached), "partition", "left")
+        beyond = F.col("next_offset") > F.coalesce("_reached", F.lit(0))
+        return ahead.filter(beyond).agg(F.min("number")).first()[0]
+
     def drop(self, versions: list[int]) -> None:
         self.kept.drop(versions)

@@ -22,7 +22,7 @@ class Watermark:
         numbers = self.values.numbers()
         if not numbers:
             return None
-        micros = self.values.read(only=numbers[-1]).select(F.unix_micros("last_polled")).first()[0]
+        micros = self.values.read_one(numbers[-1]).select(F.unix_micros("last_polled")).first()[0]
         return datetime(1970, 1, 1, tzinfo=UTC) + timedelta(microseconds=micros)
 
     def save(self, value: DataFrame) -> int:

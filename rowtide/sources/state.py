@@ -54,7 +54,7 @@ class StateStore:
         newer = self.deltas.read(after=base)
         if not base:
             return latest_per_key(newer, self.spec.key, STORED_PLACE)
-        full = self.fulls.read(only=base)
+        full = self.fulls.read_one(base)
         if not self.pending_deltas():
             return full
         return absorb(full, latest_per_key(newer, self.spec.key, STORED_PLACE), self.spec)
@@ -68,15 +68,16 @@ class StateStore:
         return stored.filter(F.col(ORDER).isNotNull()).select(f"{ORDER}.partition", f"{ORDER}.offset")
 
     def applied_offsets(self, before: int | None = None) -> DataFrame:
-        """Next offset to apply per topic partition, derived from the orders of the rows.
+        """Next offset to apply per topic partition.
 
-        A partition's last usable record is the latest change of its key, hence in the store.
+        Where a version does not say what was read for it, this is derived from the orders of
+        its rows: a partition's last usable record is the latest change of its key, hence there.
         """
         return self.points.get(self.versions(), self._places, before)
 
-    def _commit(self, kind: Batches, rows: DataFrame) -> int:
+    def _commit(self, kind: Batches, rows: DataFrame, points: DataFrame | None) -> int:
         number = kind.write(rows, self._next())
-        self.points.save(self.applied_offsets(before=number), number)
+        self.points.save(self.applied_offsets(before=number) if points is None else points, number)
         return number
 
     def load(self, table: DataFrame) -> int:
@@ -84,27 +85,25 @@ class StateStore:
         rows = table.select(
             *self.spec.columns, F.lit(False).alias(DELETED), F.lit(None).cast(ORDER_TYPE).alias(ORDER)
         )
-        return self._commit(self.fulls, rows)
+        return self._commit(self.fulls, rows, None)
 
-    def apply(self, latest: DataFrame) -> int:
-        """Record the latest ordered change of each touched key."""
-        return self._commit(self.deltas, stored_rows(latest, self.spec))
+    def apply(self, latest: DataFrame, points: DataFrame | None = None) -> int:
+        """Record the latest ordered change of each touched key. ``points`` are the resume
+        points after the records the changes come from, unusable ones included."""
+        return self._commit(self.deltas, stored_rows(latest, self.spec), points)
 
-    def rebuild(self, latest: DataFrame) -> int:
+    def rebuild(self, latest: DataFrame, points: DataFrame | None = None) -> int:
         """Merge many changes at once and write the whole table."""
         incoming = stored_rows(latest, self.spec)
         if self.buckets:
             # Match the table's buckets, or Spark may shuffle the table to match the changes.
             incoming = incoming.repartition(self.buckets, self.spec.key)
         rows = absorb(self.rows(), incoming, self.spec, "full_outer") if self.exists() else incoming
-        return self._commit(self.fulls, rows)
+        return self._commit(self.fulls, rows, points)
 
     def compact(self) -> int:
         """Write the merged table as a new full version."""
-        points = pinned(self.applied_offsets())
-        number = self.fulls.write(self.rows(), self._next())
-        self.points.save(points, number)
-        return number
+        return self._commit(self.fulls, self.rows(), pinned(self.applied_offsets()))
 
     def purge(self, keep: int = 1) -> None:
         """Delete what the newest ``keep`` full versions do not need. Readers of older

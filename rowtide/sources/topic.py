@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.operators.numbering import number_rows
-from rowtide.operators.offsets import resume_offsets
-from rowtide.session import pinned
+from rowtide.session import pinned, scratch
 from rowtide.sources.batches import Batches
+from rowtide.sources.points import ResumePoints
 from rowtide.spec import TOPIC_SCHEMA
 
 RECORD = ("key", "value", "topic", "partition", "offset", "timestamp")
@@ -20,6 +20,7 @@ class Topic:
     def __init__(self, spark: SparkSession, path: str, name: str, partitions: int = 4):
         self.spark, self.name, self.partitions = spark, name, partitions
         self.segments = Batches(spark, path, TOPIC_SCHEMA, "segment")
+        self.points = ResumePoints(spark, path)
 
     @property
     def path(self) -> str:
@@ -28,9 +29,15 @@ class Topic:
     def read(self) -> DataFrame:
         return self.segments.read()
 
+    def ends(self) -> DataFrame:
+        """Next offset per partition."""
+        return self.points.get(self.segments.numbers(), lambda n: self.segments.read(after=n))
+
     def append(self, records: DataFrame) -> int:
         """Add records that already have their partition and offset."""
-        return self.segments.write(records.select(*RECORD))
+        number = self.segments.write(records.select(*RECORD))
+        self.points.save(self.ends(), number)
+        return number
 
     def publish(self, messages: DataFrame, order: list[str]) -> DataFrame:
         """Add ``key``, ``value`` and ``timestamp`` messages in the given total order.
@@ -44,7 +51,7 @@ class Topic:
             spread = F.pmod(F.hash("key"), F.lit(self.partitions)).cast("int")
             messages = messages.withColumn("partition", spread)
         numbered = number_rows(messages, "partition", order, "_n")
-        ends = pinned(resume_offsets(self.read()))  # one row per topic partition
+        ends = pinned(self.ends())  # one row per topic partition
         sent = numbered.join(F.broadcast(ends), "partition", "left").withColumn(
             "offset", F.coalesce("next_offset", F.lit(0)) + F.col("_n")
         )
@@ -68,6 +75,21 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, starting_offsets:
     return spark.read.format("kafka").options(**options).load()
 
 
+class KafkaTopic:
+    """A Kafka topic that jobs publish to; needs Spark's Kafka connector."""
+
+    def __init__(self, spark: SparkSession, servers: str, name: str):
+        self.spark, self.servers, self.name = spark, servers, name
+
+    def publish(self, messages: DataFrame, order: list[str]) -> DataFrame:
+        """Send messages; returns them read back from a written table, as ``Topic.publish`` does."""
+        path = scratch(self.spark, "messages")
+        messages.write.parquet(path)
+        staged = self.spark.read.schema(messages.schema).parquet(path)
+        write_kafka(staged, self.servers, self.name, order)
+        return staged
+
+
 def write_kafka(messages: DataFrame, servers: str, topic: str, order: list[str] | None = None) -> None:
     """Send ``key`` and ``value`` messages to Kafka; needs Spark's Kafka connector.
 

@@ -124,6 +124,9 @@ SELECT event_id, ts AS exact, date_trunc('second', ts) AS whole_second, ts AS is
 FROM events""",
     "latest_change": _latest(_CHANGE),
     "latest_order": _latest(_ORDER),
+    "latest_by_offset": f"""
+SELECT * REPLACE (TIMESTAMP '{EVENTS_CUT}' AS kafka_timestamp) FROM ({_CHANGE})
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY partition DESC, "offset" DESC) = 1""",
     "initial_state": _EVENT_STATE,
     "tombstone_delete": _EVENT_STATE,
     "tombstone_ignore": f"SELECT id, name, value, created_at FROM ({_latest(_CHANGE, chr(34) + '__op' + chr(34) + ' <> ' + chr(39) + 'd' + chr(39))})",

@@ -193,6 +193,13 @@ def latest_order(spark, sf_dir):
     return latest_per_key(t.order_rows(spark, sf_dir), "id")
 
 
+@query
+def latest_by_offset(spark, sf_dir):
+    """Ranked by place in the topic alone, whatever the record times."""
+    rows = t.event_rows(spark, sf_dir).withColumn("kafka_timestamp", t.at(t.EVENTS_CUT))
+    return latest_per_key(rows, "id", ("partition", "offset"))
+
+
 @query
 def initial_state(spark, sf_dir):
     latest = latest_per_key(changes(_raw_events(spark, sf_dir), t.EVENT_SPEC), "id")

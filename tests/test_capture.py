@@ -32,6 +32,7 @@ def test_pending_is_oldest_first_with_the_id_deciding_ties(spark):
     sent = spark.createDataFrame([(5,)], "change_id long")
     assert [r["change_id"] for r in pending(log, sent, 10).collect()] == [9, 6]
     assert rows(pending(log, sent), "change_id") == [(6,), (9,)]
+    assert rows(pending(log, sent, since=F.lit(utc(AT))), "change_id") == [(6,)]
 
 
 def test_envelope_images_and_defaults(spark):
@@ -114,6 +115,14 @@ def test_poll_envelope(spark):
     ]
 
 
+def test_first_poll_starts_at_the_initial_watermark(spark, tmp_path):
+    topic, mark = Topic(spark, str(tmp_path / "t"), "users"), Watermark(spark, str(tmp_path / "w"))
+    table = polled(spark, (1, AT, AT), (2, AT, "2025-11-24 21:11:00"))
+    sent = jobs.poll(table, mark, topic, USERS, initial_watermark=utc(AT))
+    assert rows(sent, "ID") == [(2,)]
+    assert mark.get() == utc("2025-11-24 21:11:00")
+
+
 def test_watermark_never_goes_back(spark, tmp_path):
     mark = Watermark(spark, str(tmp_path / "w"))
     assert mark.get() is None

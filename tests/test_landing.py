@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 from rowtide.operators.audit import peek
 from rowtide.operators.offsets import all_partitions, resume_offsets, since, starting_offsets_json
 from rowtide.operators.parse import decode
-from rowtide.plans.jobs import land
+from rowtide.plans.jobs import land, materialize
 from rowtide.session import scratch, work_dir
 from rowtide.sources.raw import RawStore
+from rowtide.sources.state import StateStore
 from rowtide.sources.topic import Topic, kafka_read_options, read_kafka, write_kafka
+from rowtide.spec import USERS
 from tests.helpers import key, message, plan, record, rows, topic_df
 
 
@@ -168,3 +170,31 @@ def test_kafka_options(spark):
 def test_scratch_lies_in_the_shared_folder(spark):
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch(spark, "x").startswith(work_dir(spark))
+
+
+def test_read_since_opens_only_later_landings(spark, tmp_path):
+    raw = RawStore(spark, str(tmp_path / "raw"))
+    for upto in (2, 4, 6):
+        land(records(spark, 0, *range(upto)).union(records(spark, 1, 0)), raw)
+    points = spark.createDataFrame([(0, 3), (1, 1)], "partition int, next_offset long")
+    left, reached = raw.read_since(points)
+    assert rows(left, "partition", "offset") == [(0, 3), (0, 4), (0, 5)]
+    assert rows(reached) == [(0, 6), (1, 1)]
+    assert not any("batch=00000001" in f for f in left.inputFiles())
+    left, reached = raw.read_since(reached)
+    assert left.isEmpty() and rows(reached) == [(0, 6), (1, 1)]
+    raw.records.write(decode(records(spark, 0, 6)))  # landed, but its points were not written
+    left, reached = raw.read_since(spark.createDataFrame([(0, 6), (1, 1)], points.schema))
+    assert rows(left, "offset") == [(6,)] and rows(reached) == [(0, 7), (1, 1)]
+
+
+def test_unusable_records_are_not_read_again(spark, tmp_path):
+    """What was read counts as applied, also where nothing of it could be used."""
+    raw = RawStore(spark, str(tmp_path / "raw"))
+    state = StateStore(spark, str(tmp_path / "state"), USERS)
+    land(topic_df(spark, record(0, 0, key(1), message(1, "c")), record(1, 5, key(2), "oops")), raw)
+    assert materialize(raw, state, USERS, "incremental") is not None
+    assert rows(state.applied_offsets()) == [(0, 1), (1, 6)]
+    assert materialize(raw, state, USERS, "incremental") is None
+    assert materialize(raw, state, USERS, "replay") is not None
+    assert rows(state.applied_offsets()) == [(0, 1), (1, 6)]
