@@ -45,7 +45,11 @@ def since(records: DataFrame, offsets: DataFrame) -> DataFrame:
     Resume points come to the driver, one row per topic partition, as Kafka's own start option
     needs them; for the same reason they can be broadcast whatever the size of the data.
     """
-    start = pinned(offsets)
+    return from_points(records, pinned(offsets))
+
+
+def from_points(records: DataFrame, start: DataFrame) -> DataFrame:
+    """``since`` with resume points that are already pinned."""
     points = start.collect()
     if not points:
         return records

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 
 from rowtide.operators.capture import changelog_envelope, poll_envelope, render_envelope, snapshot_messages
 from rowtide.operators.latest import latest_per_key
-from rowtide.operators.offsets import all_partitions, since, starting_offsets_json
+from rowtide.operators.offsets import all_partitions, from_points, starting_offsets_json
 from rowtide.operators.parse import changes, decode, with_order
 from rowtide.session import pinned
 from rowtide.sources.changelog import OLDEST_FIRST, SentLog, pending
@@ -22,8 +22,9 @@ from rowtide.spec import TableSpec
 
 def land(records: DataFrame, raw: RawStore) -> int | None:
     """Topic records to the raw store, from where the last landing ended. Nothing is shuffled."""
-    new = decode(since(records, raw.next_offsets()))
-    return None if new.isEmpty() else raw.append(new)
+    start = pinned(raw.next_offsets())
+    new = decode(from_points(records, start))
+    return None if new.isEmpty() else raw.append(new, start=start)
 
 
 def land_kafka(raw: RawStore, servers: str, topic: str, partitions: int) -> int | None:

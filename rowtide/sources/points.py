@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.operators.offsets import advance
-from rowtide.session import pinned
 from rowtide.sources.batches import Batches
 from rowtide.spec import OFFSETS_SCHEMA
 
@@ -35,7 +34,7 @@ class ResumePoints:
         return points if max(versions, default=0) <= last else advance(points, places(last))
 
     def save(self, points: DataFrame, version: int) -> None:
-        self.kept.write(pinned(points).coalesce(1), version)
+        self.kept.write(points.coalesce(1), version)
 
     def first_beyond(self, points: DataFrame) -> int | None:
         """The first version that reaches past ``points``; None if no version with kept points does."""

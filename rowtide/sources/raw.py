@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.operators.offsets import since
+from rowtide.operators.offsets import advance, from_points
 from rowtide.session import pinned
 from rowtide.sources.batches import Batches
 from rowtide.sources.points import ResumePoints
@@ -46,7 +46,7 @@ class RawStore:
         if first is None:  # only landings whose points were lost can be left
             first = max((n for n in self.points.kept.numbers() if n in set(numbers)), default=0) + 1
         reached = self.points.get(numbers, lambda n: self.records.read(after=n, upto=last))
-        return since(self.records.read(after=first - 1, upto=last), start), reached
+        return from_points(self.records.read(after=first - 1, upto=last), start), reached
 
     def _points(self, before: int | None = None) -> DataFrame:
         return self.points.get(self.records.numbers(), lambda n: self.records.read(after=n), before)
@@ -55,7 +55,12 @@ class RawStore:
         """Where the next landing starts, per topic partition."""
         return self._points()
 
-    def append(self, decoded: DataFrame, number: int | None = None) -> int:
+    def append(self, decoded: DataFrame, number: int | None = None, start: DataFrame | None = None) -> int:
+        """Add records; ``start`` are the resume points before them, if the caller has them."""
         number = self.records.write(decoded, number)
-        self.points.save(self._points(before=number), number)
+        if start is None:
+            points = self._points(before=number)
+        else:
+            points = advance(start, self.records.read_one(number))
+        self.points.save(points, number)
         return number

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowtide.operators.audit import peek
+from rowtide.operators.numbering import number_rows
 from rowtide.operators.offsets import all_partitions, resume_offsets, since, starting_offsets_json
 from rowtide.operators.parse import decode
 from rowtide.plans.jobs import land, materialize
@@ -122,19 +123,20 @@ def test_publish_gives_dense_ordered_offsets(spark, tmp_path):
             assert partition_of.setdefault(k, partition) == partition
 
 
-def test_a_hot_key_is_spread_over_tasks(spark, tmp_path):
-    topic = Topic(spark, str(tmp_path / "topic"), "t", partitions=2)
-    messages = spark.range(0, 200_000, numPartitions=8).select(
-        F.col("id").alias("seq"), F.lit("hot").alias("key"), F.repeat(F.lit("x"), 500).alias("value"),
-        F.current_timestamp().alias("timestamp"),
-    )
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+def test_a_hot_key_is_spread_over_tasks(spark):
+    messages = spark.range(0, 200_000, numPartitions=8).select(F.col("id").alias("seq"), F.lit(1).alias("partition"))
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {name: spark.conf.get(name) for name in conf}
     try:
-        topic.publish(messages, ["seq"])
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        numbered = number_rows(messages, "partition", ["seq"], "offset")
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    sizes = topic.read().groupBy(F.input_file_name()).count().collect()
-    assert len(sizes) >= 4 and max(s["count"] for s in sizes) < 100_000
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert numbered.filter("offset <> seq").isEmpty()
+    sizes = [r["count"] for r in numbered.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 50_000
 
 
 def test_null_keys_are_published(spark, tmp_path):
