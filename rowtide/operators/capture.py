@@ -23,20 +23,33 @@ def _table_fields(spec: TableSpec, time_format: str, stamp_default: str | None =
     return fields
 
 
-def snapshot_messages(table: DataFrame, spec: TableSpec, at: Column | None = None) -> DataFrame:
+def with_key(rows: DataFrame, column: str, spec: TableSpec) -> DataFrame:
+    """Rows with their message key, which decides where a message goes."""
+    return rows.withColumn("key", message_key(F.col(column), spec.key_path))
+
+
+def snapshot_messages(table: DataFrame, spec: TableSpec, at: Column | None = None, *keep: str) -> DataFrame:
     """Every row of a table as a message with operation ``r``."""
     op, at = F.lit(SNAPSHOT), F.current_timestamp() if at is None else at
     row = {spec.key_path: F.col(spec.key), **_table_fields(spec, spec.time_format)}
     row |= {"__op": op, "__source_ts_ms": F.unix_millis(at), "__deleted": deleted_flag(op)}
     return table.select(
-        F.col(spec.key).alias("row_key"),
+        *keep,
         message_key(F.col(spec.key), spec.key_path).alias("key"),
         json_object(row).alias("value"),
         at.alias("timestamp"),
     )
 
 
-def changelog_envelope(changelog: DataFrame, spec: TableSpec) -> DataFrame:
+def needed_image(changelog: DataFrame) -> DataFrame:
+    """Change-log rows without the row image that their message does not use."""
+    is_delete = envelope_op(F.col("operation")).eqNullSafe(DELETE)
+    return changelog.withColumns(
+        {"old_data": F.when(is_delete, F.col("old_data")), "new_data": F.when(~is_delete, F.col("new_data"))}
+    )
+
+
+def changelog_envelope(changelog: DataFrame, spec: TableSpec, *keep: str) -> DataFrame:
     """Change-log rows as typed envelope columns, before they are rendered.
 
     A delete takes the old row image, anything else the new one; an image that is missing
@@ -55,6 +68,7 @@ def changelog_envelope(changelog: DataFrame, spec: TableSpec) -> DataFrame:
             value = value.try_cast(f.type)
         fields.append(value.alias(name))
     return rows.select(
+        *keep,
         "change_id",
         "changed_at",
         F.col("record_id").alias(spec.key),
@@ -65,24 +79,35 @@ def changelog_envelope(changelog: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def render_envelope(envelope: DataFrame, spec: TableSpec, at: str, *carry: str) -> DataFrame:
+def render_envelope(envelope: DataFrame, spec: TableSpec, at: str, *keep: str) -> DataFrame:
     """Typed envelope columns to message key and value; times in ``envelope`` are encoded."""
     row = {spec.key_path: F.col(spec.key), **{f.path: F.col(n) for n, f in spec.fields.items()}}
     row |= {name: F.col(name) for name in ("__op", "__source_ts_ms", "__deleted")}
     return envelope.select(
-        *carry,
+        *keep,
         message_key(F.col(spec.key), spec.key_path).alias("key"),
         json_object(row).alias("value"),
         F.col(at).alias("timestamp"),
     )
 
 
-def poll_envelope(polled: DataFrame, spec: TableSpec, updated: str = "updated_at") -> DataFrame:
+def changelog_messages(changelog: DataFrame, spec: TableSpec, *keep: str) -> DataFrame:
+    envelope = changelog_envelope(changelog, spec, *keep)
+    return render_envelope(envelope, spec, "changed_at", "change_id", "changed_at", *keep)
+
+
+def poll_messages(polled: DataFrame, spec: TableSpec, updated: str, *keep: str) -> DataFrame:
+    envelope = poll_envelope(polled, spec, updated, *keep)
+    return render_envelope(envelope, spec, updated, spec.key, updated, *keep)
+
+
+def poll_envelope(polled: DataFrame, spec: TableSpec, updated: str = "updated_at", *keep: str) -> DataFrame:
     """Polled rows as typed envelope columns. The operation is inferred from the stamps, times
     are epoch microseconds, and the creation stamp falls back to the update stamp."""
     op = infer_op(F.col(spec.stamp), F.col(updated))
     fields = _table_fields(spec, MICROS, stamp_default=updated)
     return polled.select(
+        *keep,
         F.col(spec.key),
         F.col(updated),
         *[fields[f.path].alias(name) for name, f in spec.fields.items()],

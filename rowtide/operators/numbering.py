@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtide.session import pinned, scratch
 
 
-def number_rows(df: DataFrame, group: str, order: list[str], out: str) -> DataFrame:
+def number_rows(
+    df: DataFrame,
+    group: str,
+    order: list[str],
+    out: str,
+    finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
     """Number the rows of each group 0, 1, 2, ... in ``order`` (total within the group).
 
     Rows are range-partitioned on group and order, so a group of any size spreads over many
@@ -16,14 +24,15 @@ def number_rows(df: DataFrame, group: str, order: list[str], out: str) -> DataFr
     bounds come from sampling and must not be drawn again; then a row's number is its
     position in its stretch plus the size of the stretches before. Of these there are at most
     one per range partition plus one per group, whatever the number of rows.
+
+    ``finish`` projects the rows, group included, once they are in place. Costly expressions
+    belong there: what comes before is computed twice, the first time to draw the bounds.
     """
     spark = df.sparkSession
     path = scratch(spark, "numbered")
-    stretched = (
-        df.repartitionByRange(group, *order)
-        .sortWithinPartitions(group, *order)
-        .withColumn("_slice", F.spark_partition_id())
-        .withColumn("_row", F.monotonically_increasing_id())
+    ordered = finish(df.repartitionByRange(group, *order).sortWithinPartitions(group, *order))
+    stretched = ordered.withColumn("_slice", F.spark_partition_id()).withColumn(
+        "_row", F.monotonically_increasing_id()
     )
     stretched.write.parquet(path)
     staged = spark.read.schema(stretched.schema).parquet(path)

@@ -7,7 +7,13 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 
-from rowtide.operators.capture import changelog_envelope, poll_envelope, render_envelope, snapshot_messages
+from rowtide.operators.capture import (
+    changelog_messages,
+    needed_image,
+    poll_messages,
+    snapshot_messages,
+    with_key,
+)
 from rowtide.operators.latest import latest_per_key
 from rowtide.operators.offsets import all_partitions, from_points, starting_offsets_json
 from rowtide.operators.parse import changes, decode, with_order
@@ -62,7 +68,14 @@ def materialize(
 
 def snapshot(table: DataFrame, topic: Topic | KafkaTopic, spec: TableSpec, at: Column | None = None) -> DataFrame:
     """Send every row of a table as operation ``r``."""
-    return topic.publish(snapshot_messages(table, spec, at), ["row_key"])
+    rows = with_key(table.select(*spec.columns), spec.key, spec)
+    return topic.publish(rows, [spec.key], lambda placed, *keep: snapshot_messages(placed, spec, at, *keep))
+
+
+def publish_changes(changelog: DataFrame, topic: Topic | KafkaTopic, spec: TableSpec) -> DataFrame:
+    """Change-log rows to a topic, oldest first."""
+    rows = with_key(needed_image(changelog), "record_id", spec)
+    return topic.publish(rows, OLDEST_FIRST, lambda placed, *keep: changelog_messages(placed, spec, *keep))
 
 
 def drain(
@@ -74,10 +87,7 @@ def drain(
     since: Column | None = None,
 ) -> DataFrame:
     """Send waiting changes, oldest first, then mark exactly those as sent."""
-    envelope = changelog_envelope(pending(changelog, sent.read(), limit, since), spec)
-    published = topic.publish(
-        render_envelope(envelope, spec, "changed_at", "change_id", "changed_at"), OLDEST_FIRST
-    )
+    published = publish_changes(pending(changelog, sent.read(), limit, since), topic, spec)
     if not published.isEmpty():
         sent.mark(published)
     return published
@@ -95,9 +105,9 @@ def poll(
     """Send the rows updated since the last poll, then save the new watermark. The first poll
     reads the whole table, or what was updated after ``initial_watermark``."""
     last = watermark.get() or initial_watermark
-    envelope = poll_envelope(poll_changes(table, last, overlap, updated), spec, updated)
+    rows = with_key(poll_changes(table, last, overlap, updated), spec.key, spec)
     published = topic.publish(
-        render_envelope(envelope, spec, updated, spec.key, updated), [updated, spec.key]
+        rows, [updated, spec.key], lambda placed, *keep: poll_messages(placed, spec, updated, *keep)
     )
     if not published.isEmpty():
         watermark.save(next_watermark(published, last, updated))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,15 @@ from rowtide.spec import TOPIC_SCHEMA
 RECORD = ("key", "value", "topic", "partition", "offset", "timestamp")
 
 
+# Makes messages of rows and keeps the columns it is given the names of.
+Render = Callable[..., DataFrame]
+
+
+def as_they_are(messages: DataFrame, *keep: str) -> DataFrame:
+    """For messages that are rendered already."""
+    return messages
+
+
 class Topic:
     """A stand-in topic: numbered segments with Kafka's columns."""
 
@@ -39,18 +50,20 @@ class Topic:
         self.points.save(self.ends(), number)
         return number
 
-    def publish(self, messages: DataFrame, order: list[str]) -> DataFrame:
-        """Add ``key``, ``value`` and ``timestamp`` messages in the given total order.
+    def publish(self, rows: DataFrame, order: list[str], render: Render = as_they_are) -> DataFrame:
+        """Add messages in the given total order.
 
-        Equal keys go to one partition unless a ``partition`` column says otherwise, and offsets
-        follow ``order`` within a partition. Returns what was sent, with every column of
-        ``messages`` and the assigned places, read back from a written table: marking rows as
-        sent from it can never mark a row that was not.
+        ``rows`` have a ``key`` and the order columns; ``render`` makes of them, keeping the
+        columns it is told to, the ``key``, ``value`` and ``timestamp`` of the messages. Equal
+        keys go to one partition unless a ``partition`` column says otherwise, and offsets
+        follow ``order`` within a partition. Returns what was sent, with every rendered column
+        and the assigned places, read back from a written table: marking rows as sent from it
+        can never mark a row that was not.
         """
-        if "partition" not in messages.columns:
+        if "partition" not in rows.columns:
             spread = F.pmod(F.hash("key"), F.lit(self.partitions)).cast("int")
-            messages = messages.withColumn("partition", spread)
-        numbered = number_rows(messages, "partition", order, "_n")
+            rows = rows.withColumn("partition", spread)
+        numbered = number_rows(rows, "partition", order, "_n", lambda placed: render(placed, "partition"))
         ends = pinned(self.ends())  # one row per topic partition
         sent = numbered.join(F.broadcast(ends), "partition", "left").withColumn(
             "offset", F.coalesce("next_offset", F.lit(0)) + F.col("_n")
@@ -81,9 +94,10 @@ class KafkaTopic:
     def __init__(self, spark: SparkSession, servers: str, name: str):
         self.spark, self.servers, self.name = spark, servers, name
 
-    def publish(self, messages: DataFrame, order: list[str]) -> DataFrame:
+    def publish(self, rows: DataFrame, order: list[str], render: Render = as_they_are) -> DataFrame:
         """Send messages; returns them read back from a written table, as ``Topic.publish`` does."""
         path = scratch(self.spark, "messages")
+        messages = render(rows)
         messages.write.parquet(path)
         staged = self.spark.read.schema(messages.schema).parquet(path)
         write_kafka(staged, self.servers, self.name, order)

@@ -9,10 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from rowtide.operators.capture import changelog_envelope, render_envelope
 from rowtide.operators.parse import decode
-from rowtide.plans.jobs import newest_changes
-from rowtide.sources.changelog import OLDEST_FIRST
+from rowtide.plans.jobs import newest_changes, publish_changes
 from rowtide.sources.raw import RawStore
 from rowtide.sources.state import StateStore
 from rowtide.sources.topic import Topic, kafka_read_options
@@ -85,7 +83,6 @@ def stream_drain(
     micro-batch may send again, never skip."""
 
     def each(batch: DataFrame, number: int) -> None:
-        envelope = changelog_envelope(batch, spec)
-        topic.publish(render_envelope(envelope, spec, "changed_at", "change_id", "changed_at"), OLDEST_FIRST)
+        publish_changes(batch, topic, spec)
 
     return _start(changelog, each, checkpoint, trigger or IDLE_POLL)

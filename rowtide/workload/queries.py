@@ -16,6 +16,7 @@ from rowtide.operators.capture import (
     poll_envelope,
     render_envelope,
     snapshot_messages,
+    with_key,
 )
 from rowtide.operators.compare import diff_snapshots, reconcile, reconcile_counts
 from rowtide.operators.latest import latest_per_key
@@ -105,16 +106,9 @@ def topic_peek(spark, sf_dir):
 @query
 def publish_order(spark, sf_dir):
     """Dense offsets in send order within each partition."""
-    rows = t.event_rows(spark, sf_dir)
-    messages = rows.select(
-        F.col("offset").alias("event_id"),
-        "partition",
-        F.col("id").cast("string").alias("key"),
-        t.event_message().alias("value"),
-        F.col("kafka_timestamp").alias("timestamp"),
-    )
+    rows = with_key(t.event_rows(spark, sf_dir).withColumnRenamed("offset", "event_id"), "id", t.EVENT_SPEC)
     topic = Topic(spark, scratch(spark, "topic"), "events")
-    sent = topic.publish(messages, ["timestamp", "event_id"])
+    sent = topic.publish(rows, ["kafka_timestamp", "event_id"], t.event_messages)
     return sent.select("event_id", "partition", "offset")
 
 
@@ -380,10 +374,10 @@ SNAPSHOT_AT = "2023-12-31 00:00:00"
 
 @query
 def snapshot_envelope(spark, sf_dir):
-    sent = snapshot_messages(_customers(spark, sf_dir), CUSTOMER_SPEC, t.at(SNAPSHOT_AT))
+    sent = snapshot_messages(_customers(spark, sf_dir), CUSTOMER_SPEC, t.at(SNAPSHOT_AT), "id")
     raw = sent.select(
         F.lit(0).alias("partition"),
-        F.col("row_key").alias("offset"),
+        F.col("id").alias("offset"),
         "key",
         F.col("value").alias("message"),
         F.col("timestamp").alias("kafka_timestamp"),
@@ -452,16 +446,8 @@ def log_capture(spark, sf_dir):
     jobs.snapshot(_customers(spark, sf_dir), topic, CUSTOMER_SPEC, t.at(SNAPSHOT_AT))
     jobs.land(topic.read(), raw)
     jobs.materialize(raw, state, t.EVENT_SPEC)
-    rows = t.event_rows(spark, sf_dir).withColumn("event_id", F.col("offset"))
-    topic.publish(
-        rows.select(
-            "event_id",
-            F.to_json(F.struct("id")).alias("key"),
-            t.event_message().alias("value"),
-            F.col("kafka_timestamp").alias("timestamp"),
-        ),
-        ["timestamp", "event_id"],
-    )
+    rows = with_key(t.event_rows(spark, sf_dir).withColumnRenamed("offset", "event_id"), "id", t.EVENT_SPEC)
+    topic.publish(rows.drop("partition"), ["kafka_timestamp", "event_id"], t.event_messages)
     jobs.land(topic.read(), raw)
     jobs.materialize(raw, state, t.EVENT_SPEC)
     return state.current()

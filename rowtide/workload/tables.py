@@ -95,6 +95,12 @@ def event_message() -> Column:
     )
 
 
+def event_messages(rows: DataFrame, *keep: str) -> DataFrame:
+    """Placed events as messages."""
+    value, at_time = event_message().alias("value"), F.col("kafka_timestamp").alias("timestamp")
+    return rows.select(*keep, "event_id", "key", value, at_time)
+
+
 def as_topic(rows: DataFrame, value: Column, key: Column | None = None) -> DataFrame:
     """Rows with their place to Kafka-shaped records."""
     return rows.select(
