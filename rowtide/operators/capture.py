@@ -87,7 +87,7 @@ def render_envelope(envelope: DataFrame, spec: TableSpec, at: str, *keep: str) -
         *keep,
         message_key(F.col(spec.key), spec.key_path).alias("key"),
         json_object(row).alias("value"),
-        F.col(at).alias("timestamp"),
+        F.coalesce(F.col(at), F.current_timestamp()).alias("timestamp"),
     )
 
 

@@ -36,12 +36,13 @@ class ResumePoints:
     def save(self, points: DataFrame, version: int) -> None:
         self.kept.write(points.coalesce(1), version)
 
-    def first_beyond(self, points: DataFrame) -> int | None:
-        """The first version that reaches past ``points``; None if no version with kept points does."""
+    def last_within(self, points: DataFrame) -> int:
+        """The last version that lies wholly before ``points``, as far as its own are kept."""
         reached = points.withColumnRenamed("next_offset", "_reached")
         ahead = self.kept.read_numbered().join(F.broadcast(reached), "partition", "left")
         beyond = F.col("next_offset") > F.coalesce("_reached", F.lit(0))
-        return ahead.filter(beyond).agg(F.min("number")).first()[0]
+        first_beyond = ahead.filter(beyond).agg(F.min("number")).first()[0]
+        return max((n for n in self.kept.numbers() if first_beyond is None or n < first_beyond), default=0)
 
     def drop(self, versions: list[int]) -> None:
         self.kept.drop(versions)

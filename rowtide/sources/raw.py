@@ -36,17 +36,15 @@ class RawStore:
     def read_since(self, points: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The records at or after resume points, and the points that reading them leads to.
 
-        Landings that lie wholly before the points are not opened; of the first one read,
-        only row groups that may hold a wanted record.
+        Landings that lie wholly before the points are not opened, and of the others only row
+        groups that may hold a wanted record.
         """
         start = pinned(points)
         numbers = self.records.numbers()
         last = max(numbers, default=0)
-        first = self.points.first_beyond(start)
-        if first is None:  # only landings whose points were lost can be left
-            first = max((n for n in self.points.kept.numbers() if n in set(numbers)), default=0) + 1
+        done = self.points.last_within(start)
         reached = self.points.get(numbers, lambda n: self.records.read(after=n, upto=last))
-        return from_points(self.records.read(after=first - 1, upto=last), start), reached
+        return from_points(self.records.read(after=done, upto=last), start), reached
 
     def _points(self, before: int | None = None) -> DataFrame:
         return self.points.get(self.records.numbers(), lambda n: self.records.read(after=n), before)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.operators.parse import decode
 from rowtide.plans.jobs import newest_changes, publish_changes
+from rowtide.session import path_exists
 from rowtide.sources.raw import RawStore
 from rowtide.sources.state import StateStore
 from rowtide.sources.topic import Topic, kafka_read_options
@@ -47,7 +48,11 @@ def stream_land(
     records: DataFrame, raw: RawStore, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Topic records to the raw store. A retried micro-batch replaces its own directory, so
-    records land exactly once. The store must have no other landing job."""
+    records land exactly once. The store must have no other landing job, and a store that has
+    records is only continued with the checkpoint it was filled with, as a new one would
+    number its micro-batches from the start and replace them."""
+    if raw.records.numbers() and not path_exists(raw.spark, checkpoint):
+        raise ValueError(f"{raw.path} has records but {checkpoint} is a new checkpoint")
 
     def each(batch: DataFrame, number: int) -> None:
         raw.append(decode(batch), number + 1)

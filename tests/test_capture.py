@@ -123,6 +123,17 @@ def test_first_poll_starts_at_the_initial_watermark(spark, tmp_path):
     assert mark.get() == utc("2025-11-24 21:11:00")
 
 
+def test_rows_without_a_stamp_are_sent_by_the_first_poll(spark, tmp_path):
+    topic, mark = Topic(spark, str(tmp_path / "t"), "users"), Watermark(spark, str(tmp_path / "w"))
+    table = polled(spark, (1, AT, AT), (2, AT, AT)).withColumn(
+        "updated_at", F.when(F.col("ID") == 1, F.col("updated_at"))
+    )
+    assert jobs.poll(table, mark, topic, USERS).count() == 2
+    assert topic.read().filter("timestamp is null").isEmpty()
+    assert mark.get() == utc(AT)
+    assert jobs.poll(table, mark, topic, USERS).isEmpty()
+
+
 def test_watermark_never_goes_back(spark, tmp_path):
     mark = Watermark(spark, str(tmp_path / "w"))
     assert mark.get() is None

@@ -58,6 +58,8 @@ def test_resume_survives_lost_points(spark, tmp_path):
     land(records(spark, 0, *range(6)), raw)
     assert rows(raw.read(), "offset") == [(n,) for n in range(6)]
     assert raw.points.kept.numbers() == [1, 3]
+    left, _ = raw.read_since(spark.createDataFrame([(0, 2)], "partition int, next_offset long"))
+    assert rows(left, "offset") == [(2,), (3,), (4,), (5,)]
 
 
 def test_half_written_landing_is_not_read(spark, tmp_path):

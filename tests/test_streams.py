@@ -1,5 +1,6 @@
 """Streams give what the batch jobs give."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from rowtide.plans import jobs
@@ -40,10 +41,27 @@ def test_stream_land_resumes(spark, tmp_path):
         assert raw.read().count() == total
     streams.stream_land(streams.read_topic_stream(topic), raw, str(tmp_path / "ck")).awaitTermination()
     assert raw.records.numbers() == [1, 2, 3, 4]
+    with pytest.raises(ValueError, match="new checkpoint"):
+        streams.stream_land(streams.read_topic_stream(topic), raw, str(tmp_path / "other"))
     assert rows(raw.read(), "partition", "offset") == rows(topic.read(), "partition", "offset")
     assert rows(raw.next_offsets()) == [(0, 119), (1, 120)]
 
 
+def test_a_topic_may_be_empty_at_first(spark, tmp_path):
+    topic, raw = Topic(spark, str(tmp_path / "t"), "users"), RawStore(spark, str(tmp_path / "raw"))
+    running = streams.stream_land(
+        streams.read_topic_stream(topic), raw, str(tmp_path / "ck"), {"processingTime": "1 second"}
+    )
+    try:
+        running.processAllAvailable()
+        assert raw.read().isEmpty()
+        topic.append(next(slices(spark)))
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert raw.read().count() == 30
+
+
 def test_a_repeated_micro_batch_replaces_itself(spark, tmp_path):
     raw = RawStore(spark, str(tmp_path / "raw"))
     parts = [streams.decode(p) for p in slices(spark, 2)]
