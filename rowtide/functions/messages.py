@@ -19,11 +19,10 @@ def message_key(key: Column, path: str = "id") -> Column:
     return json_object({path: key})
 
 
-def image_field(image: Column, path: str, missing: str | None) -> Column:
-    """One field of a row image held as a string map. ``missing`` stands in for an absent
-    field; a field that is present as JSON null stays NULL."""
-    value = F.try_element_at(image, F.lit(path))
+def or_missing(value: Column, image: Column, path: str, missing: str | None) -> Column:
+    """The value of a field of a JSON row image. ``missing`` stands in for an absent field; a
+    field that is present as JSON null stays NULL. Only NULL values cost a second look."""
     if missing is None:
         return value
-    absent = image.isNull() | ~F.map_contains_key(image, F.lit(path))
-    return F.when(absent, missing).otherwise(value)
+    present = F.coalesce(F.array_contains(F.json_object_keys(image), path), F.lit(False))
+    return F.when(value.isNotNull(), value).when(~present, missing)

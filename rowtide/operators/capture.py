@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.functions.messages import image_field, json_object, message_key
+from rowtide.functions.messages import json_object, message_key, or_missing
 from rowtide.functions.ops import deleted_flag, envelope_op, infer_op
 from rowtide.functions.times import encode_time
 from rowtide.spec import DELETE, ISO, MICROS, SNAPSHOT, TableSpec
@@ -57,10 +57,15 @@ def changelog_envelope(changelog: DataFrame, spec: TableSpec, *keep: str) -> Dat
     """
     op = envelope_op(F.col("operation"))
     image = F.when(op == DELETE, F.col("old_data")).otherwise(F.col("new_data"))
-    rows = changelog.withColumn("__op", op).withColumn("_image", F.from_json(image, "map<string,string>"))
+    texts = [f"_text_{i}" for i in range(len(spec.fields))]
+    rows = (
+        changelog.withColumn("__op", op)
+        .withColumn("_image", image)
+        .select("*", F.json_tuple("_image", *[f.path for f in spec.fields.values()]).alias(*texts))
+    )
     fields = []
-    for name, f in spec.fields.items():
-        value = image_field(F.col("_image"), f.path, f.missing)
+    for text, (name, f) in zip(texts, spec.fields.items()):
+        value = or_missing(F.col(text), F.col("_image"), f.path, f.missing)
         if name == spec.stamp:
             own = F.coalesce(value, encode_time(F.col("changed_at"), ISO))
             value = F.when(own != "", own)

@@ -167,8 +167,8 @@ def test_snapshot_messages(spark):
 
 def test_jdbc_options():
     """There is no database here, so only the options can be checked."""
-    assert jdbc_options("jdbc:postgresql://h/d", "users", "u", "p", split=("id", 0, 100, 4)) == {
-        "url": "jdbc:postgresql://h/d", "dbtable": "users", "user": "u", "password": "p", "fetchsize": "10000",
+    assert jdbc_options("jdbc:db://h/d", "users", "u", "p", split=("id", 0, 100, 4)) == {
+        "url": "jdbc:db://h/d", "dbtable": "users", "user": "u", "password": "p", "fetchsize": "10000",
         "partitionColumn": "id", "lowerBound": "0", "upperBound": "100", "numPartitions": "4",
     }
     assert "user" not in jdbc_options("jdbc:x", "t")

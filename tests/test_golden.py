@@ -31,7 +31,7 @@ class Flow:
         self.spec = spec
         self.topic = Topic(spark, str(tmp_path / "topic"), "users", partitions)
         self.raw = RawStore(spark, str(tmp_path / "raw"))
-        self.state = StateStore(spark, str(tmp_path / "DDS/users"), spec)
+        self.state = StateStore(spark, str(tmp_path / "state/users"), spec)
 
     def sync(self, mode):
         jobs.land(self.topic.read(), self.raw)
