@@ -8,9 +8,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
+from rowtide.workload.oracle import ORACLE
+from rowtide.workload.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +36,8 @@ def kind_of(series: pd.Series) -> str:
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
