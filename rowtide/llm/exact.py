@@ -39,7 +39,8 @@ def _rows(documents: DataFrame) -> DataFrame:
 def groups(documents: DataFrame) -> tuple[DataFrame, str]:
     """``sha, keep_id, keep_text, group_size`` of texts that occur more than once, and the table's path."""
     rows = _rows(documents)
-    sizes = rows.groupBy("size").agg(F.count("*").alias("n")).filter("n > 1").select("size")
+    # Read back, the few lengths need no shuffle of the rows, and a length that many rows have no task of its own.
+    sizes, sizes_at = kept(rows.groupBy("size").agg(F.count("*").alias("n")).filter("n > 1").select("size"), "sizes")
     alike = rows.join(sizes, "size", "left_semi").groupBy("size", "prefix").agg(F.count("*").alias("n"))
     alike, alike_at = kept(alike.filter("n > 1").select("size", "prefix"), "alike")
     full = rows.join(alike, ["size", "prefix"], "left_semi")
@@ -48,7 +49,7 @@ def groups(documents: DataFrame) -> tuple[DataFrame, str]:
     first = F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("text_id").alias("text"))
     found = full.groupBy("sha").agg(F.count("*").alias("group_size"), F.min(first).alias("first")).filter("group_size > 1")
     out = kept(found.select("sha", F.col("first.id").alias("keep_id"), F.col("first.text").alias("keep_text"), "group_size"), "groups")
-    drop(documents, alike_at)
+    drop(documents, sizes_at, alike_at)
     return out
 
 
