@@ -141,7 +141,7 @@ def predict(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
     are ``und`` with score 0; so is everything if the model has learned nothing."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
     packed = rows.select(F.struct(*[col(x) for x in rows.columns if x != text]).alias("row"), col(text).alias("text"))
-    schema = f"row {packed.schema['row'].dataType.simpleString()}, lang_pred string, score double"
+    schema = packed.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
     def score(batches):
         for batch in batches:

@@ -34,8 +34,7 @@ MOST = 4 * SHARD
 
 def words_long(text: str) -> Column:
     """Number of stretches without a blank; null has none."""
-    cut = F.size(F.split(F.trim(F.regexp_replace(F.coalesce(col(text), F.lit("")), r"\s+", " ")), " "))
-    return F.when(F.length(F.trim(F.regexp_replace(F.coalesce(col(text), F.lit("")), r"\s+", " "))) == 0, 0).otherwise(cut)
+    return F.regexp_count(F.coalesce(col(text), F.lit("")), F.lit(r"\S+"))
 
 
 def best_fit(sizes: list[int], lengths: tuple[int, ...], least: int) -> tuple[list[int], list[int], list[int]]:

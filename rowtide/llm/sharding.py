@@ -99,8 +99,14 @@ def shares(groups: DataFrame, shards: int = SHARDS) -> DataFrame:
         if where is None:
             where = step.withColumnRenamed("part", "bucket")
         else:
-            up = step.withColumnsRenamed({"part": "parent", "slot": "parent_slot", "parent": "up", "parent_slot": "up_slot"})
-            where = where.join(up, ["parent", "parent_slot"]).select("bucket", "slot", F.col("up").alias("parent"), F.col("up_slot").alias("parent_slot"))
+            up = step.select(
+                F.col("part").alias("parent"),
+                F.col("slot").alias("parent_slot"),
+                F.col("parent").alias("up"),
+                F.col("parent_slot").alias("up_slot"),
+            )
+            where = where.join(up, ["parent", "parent_slot"])
+            where = where.select("bucket", "slot", F.col("up").alias("parent"), F.col("up_slot").alias("parent_slot"))
         if buckets <= FAN:
             break
         buckets = -(-buckets // FAN)

@@ -203,7 +203,7 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mo
 def scored(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``rows`` has one column, ``row``, a struct that holds ``text``. Adds ``score`` and ``passages``."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, score double, passages array<{PASSAGE}>"
+    schema = rows.withColumns({"score": F.lit(0.0), "passages": F.lit(None).cast(f"array<{PASSAGE}>")}).schema
     kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("chance", pa.float64())]))
 
     def score(batches):

@@ -1,0 +1,284 @@
+"""The methods against plain versions of themselves."""
+
+import os
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from rowtide.llm import decontamination, language, lines, ngram_join, packing, sharding, text, toxicity, url_filter
+from rowtide.llm.graph import components
+from rowtide.llm.queries import ORACLE, QUERIES
+from tests.llm.data import benchmark, documents
+from tests.test_oracle import rows_of
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(value):
+    return re.findall(text.WORD, (value or "").translate(LOW))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "benchmark", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    got, want = QUERIES[name](spark, SF_DIR).toPandas(), con.execute(ORACLE[name]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows_of(got) == rows_of(want)
+
+
+def test_words_and_shingles():
+    texts = ["The CAT sat", None, "", "é1-Ünï\n--x", "a b c d e f", "cat"]
+    found = text.words(pa.array(texts))
+    assert np.diff(found.docs).tolist() == [len(words(x)) for x in texts]
+    flat = [w for x in texts for w in words(x)]
+    assert len(set(found.hashes.tolist())) == len(set(flat))
+    assert found.hashes[1] == found.hashes[-1]
+    assert np.diff(text.shingles(found, 5).docs).tolist() == [1, 0, 0, 1, 2, 1]
+    part = pa.array(["skip me", *texts]).slice(1)
+    assert text.words(part).hashes.tolist() == found.hashes.tolist()
+
+
+def test_longest_matches(spark):
+    random.seed(3)
+    rows = [(n, " ".join(random.choices("abc", k=40)), "en") for n in range(30)]
+    item = "a b c a b b a c c a"
+    got = decontamination.longest_matches(documents(spark, rows), benchmark(spark, [(5, item, 0)])).collect()
+    w = item.split()
+    for x in got:
+        best = max(k for k in range(len(w) - x.suffix + 1) if any(f" {' '.join(w[x.suffix : x.suffix + k])} " in f" {t} " or k == 0 for _, t, _ in rows))
+        assert x.length == best
+        own = dict((str(i), t.split()) for i, t, _ in rows)[x.doc_id]
+        assert own[x.word : x.word + x.length] == w[x.suffix : x.suffix + x.length]
+    assert len(got) == len(w)
+
+
+def test_near_copies_against_all_pairs(docs, spark):
+    sets = {}
+    for i, value in docs.select("doc_id", "text").collect():
+        w = words(value)
+        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else None
+    holders, parent, links = defaultdict(set), {i: i for i in sets}, defaultdict(set)
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, own in sets.items():
+        for k in own or ():
+            holders[k].add(i)
+    for i, own in sets.items():
+        for j, n in Counter(j for k in own or () for j in holders[k]).items():
+            if j != i and n / (len(own) + len(sets[j]) - n) >= 0.8:
+                if sets[j] != own:
+                    links[i].add(sets[j])
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    got = ngram_join.classes(docs).collect()
+    assert {x.doc_id: (x.class_id, x.n_links) for x in got} == {i: (find(i), len(links[i])) for i in sets}
+
+
+def test_large_group_of_near_copies_is_cut_into_blocks(spark, monkeypatch):
+    random.seed(1)
+    base = [f"w{n}" for n in range(120)]
+    rows = [(n, " ".join("new" + str(n) if k == n % 100 else w for k, w in enumerate(base)), "en") for n in range(60)]
+    whole = sorted(ngram_join.classes(documents(spark, rows)).select("doc_id", "class_id", "n_links").collect())
+    monkeypatch.setattr(ngram_join, "NODE", 7)
+    monkeypatch.setattr(ngram_join, "GROUP", 7000)
+    cut = sorted(ngram_join.classes(documents(spark, rows)).select("doc_id", "class_id", "n_links").collect())
+    assert whole == cut and {x.class_id for x in cut} == {0} and {x.n_links for x in cut} == {59}
+
+
+def test_edit_distance_and_simhash():
+    random.seed(2)
+
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    for _ in range(300):
+        a, b = ("".join(random.choices("abé", k=random.randint(0, 12))) for _ in range(2))
+        assert lines.distance(a, b) == plain(a, b)
+
+
+def test_fuzzy_lines_against_all_pairs(spark, docs):
+    few = docs.orderBy("doc_id").limit(250)
+    cut = lines.lines_of(few).toPandas()
+    values = {i: (t or "").split("\n") for i, t in few.select("doc_id", "text").collect()}
+    cut["line_text"] = [" ".join(words(values[i][n])) for i, n in zip(cut.doc_id, cut.line, strict=True)]
+    once = cut.sort_values(["doc_id", "line"]).drop_duplicates("line_text").reset_index(drop=True)
+    sims, parent = once.sim.to_numpy().astype(np.uint64), list(range(len(once)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(once)):
+        for j in (np.flatnonzero(np.bitwise_count(sims[i + 1 :] ^ sims[i]) <= lines.DISTANCE) + i + 1).tolist():
+            if lines.similar(once.line_text[i], once.line_text[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    want = {once.line_text[i]: (once.doc_id[find(i)], once.line[find(i)]) for i in range(len(once))}
+    text_of = {(i, n): t for i, n, t in zip(cut.doc_id, cut.line, cut.line_text, strict=True)}
+    for x in lines.line_groups(few).collect():
+        assert (x.keep_doc, x.keep_line) == want[text_of[x.doc_id, x.line]]
+
+
+def test_components(spark):
+    random.seed(4)
+    pairs = [(random.randrange(300), random.randrange(300)) for _ in range(220)] + [(n, n + 1) for n in range(1000, 1100)]
+    parent = {x: x for p in pairs for x in p}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    got, _ = components(spark.createDataFrame(pairs, "low long, high long"))
+    linked = {x for a, b in pairs if a != b for x in (a, b)}
+    assert {x.id: x.component for x in got.collect()} == {x: find(x) for x in linked}
+
+
+def test_best_fit_and_downsizing():
+    random.seed(5)
+    sizes = sorted((random.randint(1, 100) for _ in range(400)), reverse=True)
+    room, want = [], []
+    for s in sizes:
+        open_ = [(r, n) for n, r in enumerate(room) if r >= s]
+        if open_:
+            n = min(open_)[1]
+        else:
+            n = len(room)
+            room.append(100)
+        room[n] -= s
+        want.append(room[n])
+    where, start, used = packing.best_fit(sizes, (25, 50, 100), 100)
+    assert len(used) == len(room) and sorted(100 - x for x in used) == sorted(room)
+    where, start, fitted = packing.pack(sizes, (25, 50, 100), 4, 1 << 16)
+    for n, length in enumerate(fitted):
+        inside = sorted((b, s) for w, b, s in zip(where, start, sizes, strict=True) if w == n)
+        end = 0
+        for b, s in inside:
+            assert b == end
+            end += s
+        assert length == min(x for x in (25, 50, 100) if x >= end)
+
+
+def test_packing_holds_every_token(spark, docs):
+    got = packing.packed(docs, shard=300).toPandas()
+    want = {i: len(re.findall(r"\S+", t or "")) for i, t in docs.select("doc_id", "text").collect()}
+    assert got.groupby("doc_id").tokens.sum().to_dict() == {i: n for i, n in want.items() if n}
+    bins = got.groupby("bin").agg(n=("tokens", "sum"), most=("bin_length", "max"), least=("bin_length", "min"))
+    assert (bins.n <= bins.most).all() and (bins.most == bins.least).all()
+    assert set(bins.most) <= set(packing.LENGTHS)
+
+
+def test_differencing():
+    sizes = np.array([[8], [7], [6], [5], [4]])
+    parts = np.hstack([sizes, np.zeros((5, 1), int)])
+    final, sums = sharding.difference(parts)
+    assert sums.tolist() == [16, 14]
+    assert sorted(sizes[final[:, 0] == k].sum() for k in (0, 1)) == [14, 16]
+
+
+def test_shards_over_levels(spark, docs, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET", 50)
+    monkeypatch.setattr(sharding, "FAN", 4)
+    monkeypatch.setattr(sharding, "STRETCH", 10)
+    got = sharding.sharded(docs).toPandas()
+    sums = got.groupby("shard")["size"].sum()
+    assert len(got) == docs.count() and len(sums) == 24
+    assert sums.max() - sums.min() <= 0.001 * sums.max()
+    assert got.groupby("text_crc32").shard.nunique().max() == 1
+    for _, rows in got.groupby("shard"):
+        assert sorted(rows.slot) == list(range(len(rows)))
+
+
+def test_cascade_is_exact_over_segments(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "MOST_BITS", 1 << 13)
+    keys = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 5 == 0).alias("listed"))
+    got = url_filter.listed(keys.select("key"), keys, "key").collect()
+    assert sum(x.listed for x in got) == 800 and all(x.listed == (int(x.key[1:]) % 5 == 0) for x in got)
+
+
+def test_segments_are_maximal():
+    random.seed(6)
+    for _ in range(200):
+        size = random.randint(1, 30)
+        at = sorted(random.sample(range(size), random.randint(0, size)))
+        values = [random.randint(2, 9) for _ in at]
+        scores = [-1.0] * size
+        for place, value in zip(at, values, strict=True):
+            scores[place] = value - 1.0
+
+        def split(low, high, scores=scores):
+            """The best segment of the stretch, then those on either side of it."""
+            best = max(((sum(scores[a:b]), a - b, -a) for a in range(low, high) for b in range(a + 1, high + 1)), default=(0, 0, 0))
+            if best[0] <= 0:
+                return []
+            a = -best[2]
+            b = a - best[1]
+            return [*split(low, a), (a, b, best[0]), *split(b, high)]
+
+        got = toxicity.segments(values, at, 1.0)
+        assert max((x[2] for x in got), default=0) == pytest.approx(max((x[2] for x in split(0, size)), default=0))
+        assert all(sum(scores[a:b]) == pytest.approx(s) for a, b, s in got)
+
+
+def test_held_out_accuracy(spark, docs):
+    got = language.identified(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
+    assert (got.lang == got.lang_pred).mean() > 0.97
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    got = toxicity.report(docs, labels).join(labels, "doc_id").toPandas()
+    assert got[got.toxic == 0].predicted.mean() < 0.02
+    assert got[got.toxic == 1].predicted.mean() > 0.5  # 40 toxic documents to learn from
+
+
+def test_pipeline_stages(spark, docs):
+    """Each stage against what the reports say of its own input."""
+    from rowtide.llm import exact
+    from rowtide.llm.frames import kept
+
+    labels, items = (spark.read.parquet(f"{SF_DIR}/{x}.parquet") for x in ("labels", "benchmark"))
+    verdicts = {
+        "toxicity": lambda d: toxicity.report(d, labels).filter("predicted = 0"),
+        "exact_dedup": lambda d: exact.report(d).filter("kept"),
+        "near_dedup": lambda d: ngram_join.classes(d).filter("first"),
+        "decontamination": lambda d: decontamination.report(d, items).filter("NOT contaminated"),
+    }
+    given = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out, _ = kept(stage(spark, given, SF_DIR), "stage")
+        assert out.columns == docs.columns
+        ids = {x.doc_id for x in out.select("doc_id").collect()}
+        assert ids == {x.doc_id for x in verdicts[name](given).select("doc_id").collect()}
+        assert out.exceptAll(given).isEmpty() and 0 < out.count() <= given.count()
+        given = out
+    last = corpus_pipeline.STAGES[-1][1](spark, given, SF_DIR)
+    assert {x.doc_id for x in last.select("doc_id").distinct().collect()} == {
+        i for i, t in given.select("doc_id", "text").collect() if (t or "").split()
+    }
