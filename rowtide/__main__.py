@@ -31,7 +31,7 @@ def _arguments(args: list[str] | None) -> argparse.Namespace:
         p.add_argument("--topic", required=True, help="topic name")
         p.add_argument("--servers", help="Kafka bootstrap servers")
         p.add_argument("--topic-path", help="folder of a stand-in topic, instead of Kafka")
-        p.add_argument("--partitions", type=int, default=1, help="number of topic partitions")
+        p.add_argument("--partitions", type=int, help="number of topic partitions")
 
     def source(p):
         p.add_argument("--url", help="JDBC URL of the database")
@@ -39,6 +39,7 @@ def _arguments(args: list[str] | None) -> argparse.Namespace:
         p.add_argument("--password")
         p.add_argument("--driver")
         p.add_argument("--table", required=True, help="table name, or a Parquet folder without --url")
+        p.add_argument("--split", help="parallel database reads: column,lowest,highest,reads")
 
     land = job.add_parser("land", help="topic to raw store")
     topic(land)
@@ -49,7 +50,7 @@ def _arguments(args: list[str] | None) -> argparse.Namespace:
     materialize.add_argument("--raw", required=True)
     materialize.add_argument("--schema-version", type=int, default=SCHEMA_VERSION)
     materialize.add_argument("--state", required=True)
-    materialize.add_argument("--mode", choices=["replay", "incremental"], default="replay")
+    materialize.add_argument("--mode", choices=["replay", "incremental"], default="incremental")
     materialize.add_argument("--buckets", type=int, help="bucket the state table by key")
     materialize.add_argument("--tombstones", choices=["ignore", "delete"], default="ignore")
 
@@ -62,6 +63,7 @@ def _arguments(args: list[str] | None) -> argparse.Namespace:
     topic(drain)
     drain.add_argument("--sent", required=True, help="folder of the ids already sent")
     drain.add_argument("--limit", type=int)
+    drain.add_argument("--captured", nargs="+", help="tables of the log to send; all by default")
 
     poll = job.add_parser("poll", help="updated rows to topic")
     source(poll)
@@ -69,6 +71,11 @@ def _arguments(args: list[str] | None) -> argparse.Namespace:
     poll.add_argument("--watermark", required=True, help="folder of the saved watermark")
     poll.add_argument("--initial-watermark", type=datetime.fromisoformat)
     poll.add_argument("--overlap", help='interval to read again, such as "5 minutes"')
+
+    compact = job.add_parser("compact", help="fold applied changes into a full version of the state")
+    compact.add_argument("--state", required=True)
+    compact.add_argument("--buckets", type=int)
+    compact.add_argument("--keep", type=int, help="also delete what the newest so many versions do not need")
     return parser.parse_args(args)
 
 
@@ -80,12 +87,18 @@ def main(args: list[str] | None = None) -> None:
 
     def topic():
         if a.topic_path:
-            return Topic(spark, a.topic_path, a.topic, a.partitions)
+            return Topic(spark, a.topic_path, a.topic, a.partitions or 1)
         return KafkaTopic(spark, a.servers, a.topic)
 
     def table():
         if a.url:
-            return read_table(spark, a.url, a.table, user=a.user, password=a.password, driver=a.driver)
+            split = None
+            if a.split:
+                column, *numbers = a.split.split(",")
+                split = (column, *map(int, numbers))
+            return read_table(
+                spark, a.url, a.table, user=a.user, password=a.password, driver=a.driver, split=split
+            )
         return spark.read.parquet(a.table)
 
     if a.job == "land":
@@ -101,10 +114,15 @@ def main(args: list[str] | None = None) -> None:
     elif a.job == "snapshot":
         jobs.snapshot(table(), topic(), spec)
     elif a.job == "drain":
-        jobs.drain(table(), SentLog(spark, a.sent), topic(), spec, a.limit)
+        jobs.drain(table(), SentLog(spark, a.sent), topic(), spec, a.limit, a.captured)
     elif a.job == "poll":
         mark = Watermark(spark, a.watermark)
         jobs.poll(table(), mark, topic(), spec, a.overlap, initial_watermark=a.initial_watermark)
+    elif a.job == "compact":
+        state = StateStore(spark, a.state, spec, a.buckets)
+        state.compact()
+        if a.keep:
+            state.purge(a.keep)
     session.discard_scratch(spark)
 
 

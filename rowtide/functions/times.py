@@ -12,9 +12,13 @@ def from_micros(micros: Column, precision: str = "microsecond") -> Column:
     return ts if precision == "microsecond" else F.date_trunc(precision, ts)
 
 
+#: A date and a time of day at least to the minute; a fraction and a zone are free (fixed pattern).
+ISO_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s?(Z|UTC|[+-]\d{2}(:?\d{2})?)?$"
+
+
 def from_iso(text: Column) -> Column:
     """ISO text to timestamp, with or without fraction or zone; anything else is NULL."""
-    return F.when(text != "", F.try_to_timestamp(text))
+    return F.when(text.rlike(ISO_TEXT), F.try_to_timestamp(text))
 
 
 def to_iso(ts: Column) -> Column:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.messages import json_object, message_key, or_missing
 from rowtide.functions.ops import deleted_flag, envelope_op, infer_op
-from rowtide.functions.times import encode_time
-from rowtide.spec import DELETE, ISO, MICROS, SNAPSHOT, TableSpec
+from rowtide.functions.times import encode_time, from_iso, to_iso
+from rowtide.spec import DELETE, ISO, SNAPSHOT, TableSpec
 
 
 def _table_fields(spec: TableSpec, time_format: str, stamp_default: str | None = None) -> dict[str, Column]:
@@ -67,9 +67,12 @@ def changelog_envelope(changelog: DataFrame, spec: TableSpec, *keep: str) -> Dat
     for text, (name, f) in zip(texts, spec.fields.items()):
         value = or_missing(F.col(text), F.col("_image"), f.path, f.missing)
         if name == spec.stamp:
-            own = F.coalesce(value, encode_time(F.col("changed_at"), ISO))
+            own = F.coalesce(value, to_iso(F.col("changed_at")))
             value = F.when(own != "", own)
-        elif f.type not in ("string", "timestamp"):
+        if f.type == "timestamp" and spec.time_format != ISO:
+            # Row images hold ISO text; it travels as the table's messages do.
+            value = encode_time(from_iso(value), spec.time_format)
+        if f.type not in ("string", "timestamp"):
             value = value.try_cast(f.type)
         fields.append(value.alias(name))
     return rows.select(
@@ -108,9 +111,9 @@ def poll_messages(polled: DataFrame, spec: TableSpec, updated: str, *keep: str)
 
 def poll_envelope(polled: DataFrame, spec: TableSpec, updated: str = "updated_at", *keep: str) -> DataFrame:
     """Polled rows as typed envelope columns. The operation is inferred from the stamps, times
-    are epoch microseconds, and the creation stamp falls back to the update stamp."""
+    travel as the spec says, and the creation stamp falls back to the update stamp."""
     op = infer_op(F.col(spec.stamp), F.col(updated))
-    fields = _table_fields(spec, MICROS, stamp_default=updated)
+    fields = _table_fields(spec, spec.time_format, stamp_default=updated)
     return polled.select(
         *keep,
         F.col(spec.key),

@@ -7,21 +7,21 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.messages import json_object
 from rowtide.functions.times import to_iso
-from rowtide.operators.merge import CHANGE, STATE, pair
+from rowtide.operators.merge import CHANGE, STATE, pair, quoted
 
 
 def _distinct(column: str) -> Column:
-    return ~F.col(STATE + column).eqNullSafe(F.col(CHANGE + column))
+    return ~F.col(quoted(STATE + column)).eqNullSafe(F.col(quoted(CHANGE + column)))
 
 
 def _image(df: DataFrame, prefix: str, key: str) -> Column:
     """Row image as JSON text, NULL where the row is absent. Times are ISO text, as JSON
     writing would cut them to milliseconds."""
     values = {
-        name: to_iso(F.col(prefix + name)) if kind.startswith("timestamp") else F.col(prefix + name)
+        name: to_iso(F.col(quoted(prefix + name))) if kind.startswith("timestamp") else F.col(quoted(prefix + name))
         for name, kind in df.dtypes
     }
-    return F.when(F.col(prefix + key).isNotNull(), json_object(values))
+    return F.when(F.col(quoted(prefix + key)).isNotNull(), json_object(values))
 
 
 def diff_snapshots(
@@ -31,15 +31,15 @@ def diff_snapshots(
 
     Rows only in ``after`` are inserts with the new image, rows only in ``before`` deletes with
     the old one, rows that differ in any column updates with both. Keys are unique per side.
-    Rows have no ``change_id``; number them with ``number_rows`` where one is needed.
+    Rows have no ``change_id``; number them, with gaps, where one is needed.
     """
     columns = [c for c in after.columns if c != key]
-    pairs = pair(before.select(*after.columns), after, key, "full_outer")
+    pairs = pair(before.select(*after.columns), after, key)
     changed = F.lit(False)
     for c in columns:
         changed = changed | _distinct(c)
     operation = (
-        F.when(F.col(STATE + key).isNull(), "I").when(F.col(CHANGE + key).isNull(), "D").when(changed, "U")
+        F.when(F.col(quoted(STATE + key)).isNull(), "I").when(F.col(quoted(CHANGE + key)).isNull(), "D").when(changed, "U")
     )
     return (
         pairs.withColumn("operation", operation)
@@ -60,11 +60,11 @@ def reconcile(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Rows on which a target disagrees with its source: ``missing`` from the target, ``extra``
     in it, or ``different`` with the names of the columns that differ."""
     columns = [c for c in source.columns if c != key]
-    pairs = pair(source, target.select(*source.columns), key, "full_outer")
+    pairs = pair(source, target.select(*source.columns), key)
     names = F.concat_ws(",", *[F.when(_distinct(c), c) for c in columns])
     status = (
-        F.when(F.col(CHANGE + key).isNull(), "missing")
-        .when(F.col(STATE + key).isNull(), "extra")
+        F.when(F.col(quoted(CHANGE + key)).isNull(), "missing")
+        .when(F.col(quoted(STATE + key)).isNull(), "extra")
         .when(names != "", "different")
     )
     return (

@@ -10,40 +10,31 @@ from rowtide.spec import DELETE, DELETED, ORDER, TableSpec, op_in
 STATE, CHANGE = "s_", "c_"
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate of ``df`` is under the session's broadcast limit."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return size <= limit
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
+    return df.select(*[F.col(quoted(c)).alias(prefix + c) for c in df.columns])
 
 
-def pair(state: DataFrame, changes: DataFrame, key: str, how: str = "auto") -> DataFrame:
+def pair(state: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """State and change rows side by side per key (``s_*`` and ``c_*``; NULL where one is absent).
 
-    ``full_outer`` shuffles both sides on the key and reads each once. ``lookup`` leaves the
-    state where it lies: it is scanned once with the changes looked up and once, key column
-    only, to find the changes that have no state row. That needs changes small enough for
-    Spark to broadcast and cheap to read again, such as a written table; ``auto`` takes it
-    when the size estimate allows and the full outer join otherwise.
+    One full outer join: each side is read once and meets on the key. A state that is bucketed by
+    the key is not shuffled.
     """
-    if how == "auto":
-        how = "lookup" if fits_broadcast(changes) else "full_outer"
     s, c = _prefixed(state, STATE), _prefixed(changes, CHANGE)
-    on = F.col(STATE + key) == F.col(CHANGE + key)
-    if how == "full_outer":
-        return s.join(c, on, "full_outer")
-    hits = state.select(key).join(changes.select(key), key, "left_semi")
-    fresh = _prefixed(changes.join(hits, key, "left_anti"), CHANGE)
-    return s.join(c, on, "left").unionByName(fresh, allowMissingColumns=True)
+    return s.join(c, F.col(quoted(STATE + key)) == F.col(quoted(CHANGE + key)), "full_outer")
+
+
+def _either(changed: Column, name: str) -> Column:
+    return F.when(changed, F.col(quoted(CHANGE + name))).otherwise(F.col(quoted(STATE + name))).alias(name)
 
 
 def _action(spec: TableSpec) -> Column:
     """What happens to each pair. A NULL or unaccepted operation leaves a state row alone."""
-    has_state, has_change = F.col(STATE + spec.key).isNotNull(), F.col(CHANGE + spec.key).isNotNull()
+    has_state, has_change = F.col(quoted(STATE + spec.key)).isNotNull(), F.col(quoted(CHANGE + spec.key)).isNotNull()
     op = F.col(CHANGE + "__op")
     return (
         F.when(~has_change, "untouched")
@@ -55,24 +46,24 @@ def _action(spec: TableSpec) -> Column:
     )
 
 
-def apply_changes(state: DataFrame, changes: DataFrame, spec: TableSpec, how: str = "full_outer") -> DataFrame:
+def apply_changes(state: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
     """Keyed merge: update or delete on match, insert what is new unless it is a delete.
 
     ``changes`` holds at most one row per key. An update replaces the whole row, also with
     NULLs, and an update of an absent key inserts it.
     """
     columns = [*spec.columns, "__op"]
-    pairs = pair(state.select(*spec.columns), changes.select(*columns), spec.key, how)
+    pairs = pair(state.select(*spec.columns), changes.select(*columns), spec.key)
     acted = pairs.withColumn("_action", _action(spec)).filter(~F.col("_action").isin("delete", "ignored"))
     taken = F.col("_action") != "untouched"
     return acted.select(
-        *[F.when(taken, F.col(CHANGE + c)).otherwise(F.col(STATE + c)).alias(c) for c in spec.columns]
+        *[_either(taken, c) for c in spec.columns]
     )
 
 
-def merge_actions(state: DataFrame, changes: DataFrame, spec: TableSpec, how: str = "full_outer") -> DataFrame:
+def merge_actions(state: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
     """Row count of each action the merge would take; reads only keys and operations."""
-    pairs = pair(state.select(spec.key), changes.select(spec.key, "__op"), spec.key, how)
+    pairs = pair(state.select(spec.key), changes.select(spec.key, "__op"), spec.key)
     return pairs.groupBy(_action(spec).alias("action")).agg(F.count("*").alias("n"))
 
 
@@ -81,22 +72,22 @@ def stored_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
     return changes.select(*spec.columns, (F.col("__op") == DELETE).alias(DELETED), ORDER)
 
 
-def absorb(rows: DataFrame, incoming: DataFrame, spec: TableSpec, how: str = "auto") -> DataFrame:
+def absorb(rows: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
     """Merge store rows with newer store rows, one per key on each side.
 
     A row replaces another only if its order is not older, so applying the same change again,
     or a late one, changes nothing, and a late update cannot bring back a deleted key.
     """
-    pairs = pair(rows, incoming, spec.key, how)
-    wins = F.col(CHANGE + spec.key).isNotNull() & (
-        F.col(STATE + spec.key).isNull()
+    pairs = pair(rows, incoming, spec.key)
+    wins = F.col(quoted(CHANGE + spec.key)).isNotNull() & (
+        F.col(quoted(STATE + spec.key)).isNull()
         | F.col(STATE + ORDER).isNull()
         | (F.col(CHANGE + ORDER) >= F.col(STATE + ORDER))
     )
     wins = F.coalesce(wins, F.lit(False))
     columns = [*spec.columns, DELETED, ORDER]
     return pairs.select(
-        *[F.when(wins, F.col(CHANGE + c)).otherwise(F.col(STATE + c)).alias(c) for c in columns]
+        *[_either(wins, c) for c in columns]
     )
 
 

@@ -3,6 +3,7 @@ between repeats work but loses none."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -18,12 +19,12 @@ from rowtide.operators.latest import latest_per_key
 from rowtide.operators.offsets import all_partitions, from_points, starting_offsets_json
 from rowtide.operators.parse import changes, decode, with_order
 from rowtide.session import pinned
-from rowtide.sources.changelog import OLDEST_FIRST, SentLog, pending
-from rowtide.sources.polled import Watermark, next_watermark, poll_changes
+from rowtide.sources.changelog import OLDEST_FIRST, SentLog, captured, pending
+from rowtide.sources.polled import Watermark, in_utc, next_watermark, poll_changes
 from rowtide.sources.raw import RawStore
 from rowtide.sources.state import StateStore
 from rowtide.sources.topic import KafkaTopic, Topic, read_kafka
-from rowtide.spec import TableSpec
+from rowtide.spec import PLACE, TableSpec
 
 
 def land(records: DataFrame, raw: RawStore) -> int | None:
@@ -33,35 +34,56 @@ def land(records: DataFrame, raw: RawStore) -> int | None:
     return None if new.isEmpty() else raw.append(new, start=start)
 
 
-def land_kafka(raw: RawStore, servers: str, topic: str, partitions: int) -> int | None:
-    """The same from a Kafka topic with the given number of partitions, all of which the start
-    option has to name; needs Spark's Kafka connector."""
-    points = all_partitions(raw.next_offsets(), partitions)
-    start = starting_offsets_json(points, topic).first()["starting_offsets"]
+def kafka_start(raw: RawStore, topic: str, partitions: int | None) -> str:
+    """Where to read a Kafka topic from: its beginning on the first run, after that the places
+    landed up to. The start option then has to name all ``partitions`` of the topic."""
+    landed = raw.next_offsets()
+    if landed.isEmpty():
+        return "earliest"
+    if partitions is None:
+        raise ValueError("give the topic's number of partitions: a start has to name them all")
+    return starting_offsets_json(all_partitions(landed, partitions), topic).first()["starting_offsets"]
+
+
+def land_kafka(raw: RawStore, servers: str, topic: str, partitions: int | None = None) -> int | None:
+    """The same from a Kafka topic; needs Spark's Kafka connector."""
+    start = kafka_start(raw, topic, partitions)
     new = decode(read_kafka(raw.spark, servers, topic, start))
     return None if new.isEmpty() else raw.append(new)
 
 
-def newest_changes(raw: DataFrame, spec: TableSpec, **options: str) -> DataFrame:
-    """The latest usable change of each key, with its order."""
-    return with_order(latest_per_key(changes(raw, spec, **options), spec.key))
+def newest_changes(
+    raw: DataFrame, spec: TableSpec, order: tuple[str, ...] = PLACE, **options: str
+) -> DataFrame:
+    """The latest usable change of each key in ``order``, with its place."""
+    return with_order(latest_per_key(changes(raw, spec, **options), spec.key, order))
 
 
 def materialize(
-    raw: RawStore, state: StateStore, spec: TableSpec, mode: str = "replay", **options: str
+    raw: RawStore,
+    state: StateStore,
+    spec: TableSpec,
+    mode: str = "incremental",
+    order: tuple[str, ...] = PLACE,
+    **options: str,
 ) -> int | None:
     """Raw store to state table.
 
     ``replay`` ranks the whole history and rewrites the state. ``incremental`` reads only
     records beyond those applied and writes only the keys they touch. Both give the same state.
+    ``order`` ranks the changes of a key; an order other than by record time needs ``replay``, as
+    stored rows are compared by their whole place.
     """
+    if order != PLACE and mode != "replay":
+        raise ValueError("an order of its own needs mode replay")
     if mode not in ("replay", "incremental"):
         raise ValueError(f"mode must be replay or incremental, not {mode}")
     if mode == "replay":
         if not raw.records.numbers():
             return None
         points = pinned(raw.next_offsets())
-        return state.rebuild(newest_changes(raw.read(), spec, **options), points)
+        newest = newest_changes(raw.read(), spec, order, **options)
+        return state.rebuild(newest, points, afresh=order != PLACE)
     records, points = raw.read_since(state.applied_offsets())
     return None if records.isEmpty() else state.apply(newest_changes(records, spec, **options), points)
 
@@ -69,7 +91,7 @@ def materialize(
 def snapshot(table: DataFrame, topic: Topic | KafkaTopic, spec: TableSpec, at: Column | None = None) -> DataFrame:
     """Send every row of a table as operation ``r``."""
     rows = with_key(table.select(*spec.columns), spec.key, spec)
-    return topic.publish(rows, [spec.key], lambda placed, *keep: snapshot_messages(placed, spec, at, *keep))
+    return topic.publish(rows, [spec.key], lambda placed, *keep: snapshot_messages(placed, spec, at, *keep), False)
 
 
 def publish_changes(changelog: DataFrame, topic: Topic | KafkaTopic, spec: TableSpec) -> DataFrame:
@@ -84,10 +106,12 @@ def drain(
     topic: Topic | KafkaTopic,
     spec: TableSpec,
     limit: int | None = None,
-    since: Column | None = None,
+    tables: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Send waiting changes, oldest first, then mark exactly those as sent."""
-    published = publish_changes(pending(changelog, sent.read(), limit, since), topic, spec)
+    """Send waiting changes, oldest first, then mark exactly those as sent. ``tables`` are the
+    captured ones; a log of several needs it, as a topic and a spec are of one table."""
+    log = changelog if tables is None else captured(changelog, tables)
+    published = publish_changes(pending(log, sent.read(), limit), topic, spec)
     if not published.isEmpty():
         sent.mark(published)
     return published
@@ -105,10 +129,12 @@ def poll(
     """Send the rows updated since the last poll, then save the new watermark. The first poll
     reads the whole table, or what was updated after ``initial_watermark``."""
     last = watermark.get() or initial_watermark
+    last = None if last is None else in_utc(last)
     rows = with_key(poll_changes(table, last, overlap, updated), spec.key, spec)
     published = topic.publish(
-        rows, [updated, spec.key], lambda placed, *keep: poll_messages(placed, spec, updated, *keep)
+        rows, [updated, spec.key], lambda placed, *keep: poll_messages(placed, spec, updated, *keep), False
     )
-    if not published.isEmpty():
-        watermark.save(next_watermark(published, last, updated))
+    newest = pinned(next_watermark(published, last, updated))  # one row
+    if not published.isEmpty() and not newest.filter("last_polled IS NOT NULL").isEmpty():
+        watermark.save(newest)
     return published

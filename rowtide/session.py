@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,24 +33,13 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
 
 
-_local_work: str | None = None
-
-
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
-
-    A local session without that setting gets one temporary folder per process. A cluster
-    session without it is an error, since a machine-local folder would not be seen by executors.
-    """
-    global _local_work
+    """Shared folder for intermediate tables: the session's ``spark.checkpoint.dir``, which all
+    executors must see. There is no other: a machine-local folder would lose what is in it."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_work is None:
-        _local_work = tempfile.mkdtemp(prefix="rowtide-")
-    return _local_work
+    return shared.rstrip("/")
 
 
 _scratch: list[str] = []
@@ -79,3 +67,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def delete_path(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, from the working directory if it is relative."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return str(where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString())
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a directory in place of another."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(target), True)
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"cannot move {source} to {target}")

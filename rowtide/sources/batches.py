@@ -7,20 +7,20 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.session import delete_path
+from rowtide.session import delete_path, move, qualified
 
 
 class Batches:
     """Tables written as ``<path>/<prefix>=<number>``, one directory per write.
 
-    A directory counts once the output committer has put ``_SUCCESS`` in it, so a reader never
-    sees a write that failed half way, and nothing is overwritten while it is read. Paths go
+    A batch is written under ``_writing`` and moved to its place whole, so neither a reader nor a
+    stream over the directories ever sees a write that failed half way. Paths go
     through Hadoop's file system API and may lie on any store Spark can reach. There may be
     many readers but only one writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: str, prefix: str = "batch"):
-        self.spark, self.path, self.schema, self.prefix = spark, path.rstrip("/"), schema, prefix
+        self.spark, self.path, self.schema, self.prefix = spark, qualified(spark, path), schema, prefix
 
     def _glob(self, pattern: str) -> list[str]:
         hadoop = self.spark._jvm.org.apache.hadoop.fs
@@ -70,7 +70,11 @@ class Batches:
         retry of a streaming micro-batch harmless."""
         mode = "error" if number is None else "overwrite"
         number = self.last() + 1 if number is None else number
-        df.write.mode(mode).parquet(self.directory(number))
+        if mode == "error" and number in self._numbers(f"{self.prefix}=*", -1):
+            raise ValueError(f"{self.directory(number)} exists")
+        staged = f"{self.path}/_writing/{self.prefix}={number:08d}"
+        df.write.mode("overwrite").parquet(staged)
+        move(self.spark, staged, self.directory(number))
         return number
 
     def drop(self, numbers: list[int]) -> None:
@@ -97,14 +101,16 @@ class BucketedBatches(Batches):
         table = self._table(numbers[0])
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({self.schema}) USING parquet "
-            f"CLUSTERED BY (`{self.key}`) INTO {self.buckets} BUCKETS LOCATION '{self.directory(numbers[0])}'"
+            f"CLUSTERED BY (`{self.key}`) INTO {self.buckets} BUCKETS LOCATION '{self.directory(numbers[0]).replace("'", "\\'")}'"
         )
         return self.spark.table(table)
 
     def write(self, df: DataFrame, number: int | None = None) -> int:
         mode = "error" if number is None else "overwrite"
         number = self.last() + 1 if number is None else number
-        writer = df.write.mode(mode).format("parquet").bucketBy(self.buckets, self.key)
+        # A task holds whole buckets, so there is one file for each.
+        dealt = df.repartition(self.buckets, self.key)
+        writer = dealt.write.mode(mode).format("parquet").bucketBy(self.buckets, self.key)
         writer.option("path", self.directory(number)).saveAsTable(self._table(number))
         return number
 

@@ -43,13 +43,9 @@ def pending(
     changelog: DataFrame,
     sent: DataFrame | None = None,
     limit: int | None = None,
-    since: Column | None = None,
 ) -> DataFrame:
-    """Changes not sent yet: all of them, or the oldest ``limit``. ``since`` leaves out the part
-    of the log that is known to be done, so that a long log is not read to its beginning."""
+    """Changes not sent yet, however old: all of them, or the oldest ``limit``."""
     waiting = changelog.filter(~F.col("processed"))
-    if since is not None:
-        waiting = waiting.filter(F.col("changed_at") >= since)
     if sent is not None:
         waiting = waiting.join(sent.select("change_id"), "change_id", "left_anti")
     return waiting if limit is None else waiting.orderBy(*OLDEST_FIRST).limit(limit)

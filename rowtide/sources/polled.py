@@ -23,6 +23,8 @@ class Watermark:
         if not numbers:
             return None
         micros = self.values.read_one(numbers[-1]).select(F.unix_micros("last_polled")).first()[0]
+        if micros is None:
+            return None
         return datetime(1970, 1, 1, tzinfo=UTC) + timedelta(microseconds=micros)
 
     def save(self, value: DataFrame) -> int:
@@ -30,6 +32,11 @@ class Watermark:
         return self.values.write(value.select(F.col("last_polled").cast("timestamp")))
 
 
+def in_utc(stamp: datetime) -> datetime:
+    """A stamp without a zone is UTC, whatever the driver's zone."""
+    return stamp.replace(tzinfo=UTC) if stamp.tzinfo is None else stamp
+
+
 def poll_changes(
     table: DataFrame, last_polled: datetime | None, overlap: str | None = None, updated: str = "updated_at"
 ) -> DataFrame:
@@ -40,6 +47,7 @@ def poll_changes(
     """
     if last_polled is None:
         return table
+    last_polled = in_utc(last_polled)
     # In the column's own type, as a cast of the column would keep the filter from the source.
     bound = F.lit(last_polled).cast(table.schema[updated].dataType)
     if overlap:
@@ -50,6 +58,7 @@ def poll_changes(
 def next_watermark(sent: DataFrame, last_polled: datetime | None, updated: str = "updated_at") -> DataFrame:
     """One row: the newest stamp sent, but never below the old watermark."""
     newest = F.max(F.col(updated).cast("timestamp"))
+    last_polled = None if last_polled is None else in_utc(last_polled)
     return sent.agg(
         (newest if last_polled is None else F.greatest(newest, F.lit(last_polled))).alias("last_polled")
     )

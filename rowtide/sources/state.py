@@ -92,13 +92,13 @@ class StateStore:
         points after the records the changes come from, unusable ones included."""
         return self._commit(self.deltas, stored_rows(latest, self.spec), points)
 
-    def rebuild(self, latest: DataFrame, points: DataFrame | None = None) -> int:
-        """Merge many changes at once and write the whole table."""
+    def rebuild(self, latest: DataFrame, points: DataFrame | None = None, afresh: bool = False) -> int:
+        """Merge many changes at once and write the whole table; ``afresh`` from these alone."""
         incoming = stored_rows(latest, self.spec)
         if self.buckets:
             # Match the table's buckets, or Spark may shuffle the table to match the changes.
             incoming = incoming.repartition(self.buckets, self.spec.key)
-        rows = absorb(self.rows(), incoming, self.spec, "full_outer") if self.exists() else incoming
+        rows = absorb(self.rows(), incoming, self.spec) if self.exists() and not afresh else incoming
         return self._commit(self.fulls, rows, points)
 
     def compact(self) -> int:

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.operators.numbering import number_rows
 from rowtide.session import pinned, scratch
 from rowtide.sources.batches import Batches
 from rowtide.sources.points import ResumePoints
@@ -50,28 +49,40 @@ class Topic:
         self.points.save(self.ends(), number)
         return number
 
-    def publish(self, rows: DataFrame, order: list[str], render: Render = as_they_are) -> DataFrame:
+    def publish(
+        self, rows: DataFrame, order: list[str], render: Render = as_they_are, ordered: bool = True
+    ) -> DataFrame:
         """Add messages in the given total order.
 
         ``rows`` have a ``key`` and the order columns; ``render`` makes of them, keeping the
         columns it is told to, the ``key``, ``value`` and ``timestamp`` of the messages. Equal
-        keys go to one partition unless a ``partition`` column says otherwise, and offsets
-        follow ``order`` within a partition. Returns what was sent, with every rendered column
-        and the assigned places, read back from a written table: marking rows as sent from it
-        can never mark a row that was not.
+        keys go to one partition unless a ``partition`` column says otherwise. Offsets rise with
+        ``order`` within a partition and have gaps, as a topic's may: one range sort places the
+        rows, and a row's offset is its number in it after the partition's end. Without
+        ``ordered`` (a key occurs once) nothing is shuffled.
+
+        The messages are written once, as the segment, with every rendered column; returns them
+        read back from there, so marking rows as sent can never mark one that was not.
         """
         if "partition" not in rows.columns:
             spread = F.pmod(F.hash("key"), F.lit(self.partitions)).cast("int")
             rows = rows.withColumn("partition", spread)
-        numbered = number_rows(rows, "partition", order, "_n", lambda placed: render(placed, "partition"))
+        if ordered:
+            rows = rows.repartitionByRange("partition", *order).sortWithinPartitions("partition", *order)
+        placed = render(rows, "partition").withColumn("_n", F.monotonically_increasing_id())
         ends = pinned(self.ends())  # one row per topic partition
-        sent = numbered.join(F.broadcast(ends), "partition", "left").withColumn(
+        sent = placed.join(F.broadcast(ends), "partition", "left").withColumn(
             "offset", F.coalesce("next_offset", F.lit(0)) + F.col("_n")
         )
         sent = sent.drop("_n", "next_offset").withColumn("topic", F.lit(self.name))
-        if not sent.isEmpty():
-            self.append(sent.withColumns({c: F.col(c).cast("binary") for c in ("key", "value")}))
-        return sent
+        sent = sent.withColumns({c: F.col(c).cast("binary") for c in ("key", "value")})
+        number = self.segments.write(sent)
+        staged = self.spark.read.schema(sent.schema).parquet(self.segments.directory(number))
+        if staged.isEmpty():
+            self.segments.drop([number])
+            return self.spark.createDataFrame([], sent.schema)
+        self.points.save(self.ends(), number)
+        return staged
 
 
 def kafka_read_options(servers: str, topic: str, starting_offsets: str = "earliest") -> dict[str, str]:
@@ -94,13 +105,20 @@ class KafkaTopic:
     def __init__(self, spark: SparkSession, servers: str, name: str):
         self.spark, self.servers, self.name = spark, servers, name
 
-    def publish(self, rows: DataFrame, order: list[str], render: Render = as_they_are) -> DataFrame:
-        """Send messages; returns them read back from a written table, as ``Topic.publish`` does."""
+    def messages(self, rows: DataFrame, render: Render = as_they_are) -> DataFrame:
+        """Messages as a written table, from which they are sent and marked."""
         path = scratch(self.spark, "messages")
         messages = render(rows)
         messages.write.parquet(path)
-        staged = self.spark.read.schema(messages.schema).parquet(path)
-        write_kafka(staged, self.servers, self.name, order)
+        return self.spark.read.schema(messages.schema).parquet(path)
+
+    def publish(
+        self, rows: DataFrame, order: list[str], render: Render = as_they_are, ordered: bool = True
+    ) -> DataFrame:
+        """Send messages; returns them read back, as ``Topic.publish`` does. Without ``ordered`` (a key
+        occurs once) nothing is shuffled."""
+        staged = self.messages(rows, render)
+        write_kafka(staged, self.servers, self.name, order if ordered else None)
         return staged
 
 
@@ -111,7 +129,12 @@ def write_kafka(messages: DataFrame, servers: str, topic: str, order: list[str]
     partition; drain a long log in rounds with a limit, which bounds what a task sends. Leave it
     out where a key occurs only once, as in a snapshot or a poll: then nothing is shuffled.
     """
+    options = {"kafka.bootstrap.servers": servers, "topic": topic}
+    sendable(messages, order).write.format("kafka").options(**options).save()
+
+
+def sendable(messages: DataFrame, order: list[str] | None) -> DataFrame:
+    """What the Kafka writer is handed."""
     if order:
         messages = messages.repartition("key").sortWithinPartitions("key", *order)
-    options = {"kafka.bootstrap.servers": servers, "topic": topic}
-    messages.select("key", "value").write.format("kafka").options(**options).save()
+    return messages.select("key", "value")

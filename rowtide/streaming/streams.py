@@ -66,17 +66,14 @@ def stream_apply(
     spec: TableSpec,
     checkpoint: str,
     trigger: dict | None = None,
-    compact_every: int = 50,
     **options: str,
 ) -> StreamingQuery:
-    """Topic or landed records to the state table. A micro-batch writes only the keys it touches; every
-    ``compact_every`` such writes are folded into a full version. Retries change nothing."""
+    """Topic or landed records to the state table. A micro-batch writes only the keys it touches;
+    ``compact`` them into a full version by a job of its own. Retries change nothing."""
 
     def each(batch: DataFrame, number: int) -> None:
         landed = decode(batch) if "value" in batch.columns else batch
         state.apply(newest_changes(landed, spec, **options))
-        if len(state.pending_deltas()) >= compact_every:
-            state.compact()
 
     return _start(records, each, checkpoint, trigger)
 

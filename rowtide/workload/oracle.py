@@ -120,7 +120,9 @@ FROM events""",
     "time_parse": """
 SELECT event_id, ts AS exact, date_trunc('second', ts) AS whole_second, ts AS iso_micros,
        make_timestamp(epoch_us(ts) // 100 * 100) AS iso_short, date_trunc('second', ts) AS iso_plain,
-       ts AS iso_zone, CAST(NULL AS TIMESTAMP) AS iso_empty
+       ts AS iso_zone, CAST(NULL AS TIMESTAMP) AS iso_empty,
+       CAST(NULL AS TIMESTAMP) AS iso_time, CAST(NULL AS TIMESTAMP) AS iso_year,
+       CAST(NULL AS TIMESTAMP) AS iso_day, CAST(NULL AS TIMESTAMP) AS iso_junk
 FROM events""",
     "latest_change": _latest(_CHANGE),
     "latest_order": _latest(_ORDER),
@@ -199,6 +201,19 @@ WHERE c_custkey NOT IN (SELECT user_id FROM events)""",
 SELECT id, name, price, created_at FROM ({_ENVELOPE})
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY changed_at DESC, change_id DESC) = 1 AND "__op" <> 'd'""",
     "polling_capture": f"SELECT id, name, price, created_at FROM ({_POLLED})",
+    "drain_captured": """
+SELECT '{"id":' || o_custkey || '}' AS key, count(*) AS n
+FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('1', '2') GROUP BY 1""",
+    "drain_late_commit": f"SELECT o_orderkey AS change_id, o_orderdate AS changed_at FROM orders WHERE {_SENT}",
+    "poll_from_initial": f"SELECT * FROM ({_POLLED}) WHERE updated_at > TIMESTAMP '{ORDERS_CUT}'",
+    "poll_iso": """
+SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'F' THEN o_orderdate
+       ELSE o_orderdate + INTERVAL 1 SECOND END AS created_at FROM orders""",
+    "changelog_micros": f'SELECT change_id AS "offset", id, created_at FROM ({_ENVELOPE})',
+    "state_by_offset": f"""
+SELECT id, name, value, created_at FROM (
+    SELECT * FROM ({_CHANGE}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY partition DESC, "offset" DESC) = 1)
+WHERE "__op" <> 'd'""",
     "stream_land": _RECORD,
     "stream_upsert": _EVENT_STATE,
     "stream_drain": f"""

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowtide.functions.ops import envelope_op
@@ -13,7 +14,9 @@ from rowtide.functions.times import from_iso, from_micros
 from rowtide.operators import audit
 from rowtide.operators.capture import (
     changelog_envelope,
+    changelog_messages,
     poll_envelope,
+    poll_messages,
     render_envelope,
     snapshot_messages,
     with_key,
@@ -30,7 +33,7 @@ from rowtide.sources.polled import Watermark, next_watermark, poll_changes
 from rowtide.sources.raw import RawStore
 from rowtide.sources.state import StateStore
 from rowtide.sources.topic import Topic
-from rowtide.spec import DELETE, Field, TableSpec
+from rowtide.spec import DELETE, ISO, MICROS, Field, TableSpec
 from rowtide.streaming import streams
 from rowtide.workload import tables as t
 
@@ -105,11 +108,12 @@ def topic_peek(spark, sf_dir):
 
 @query
 def publish_order(spark, sf_dir):
-    """Dense offsets in send order within each partition."""
+    """Messages of a partition in the order of their offsets, which have gaps, counted from 0."""
     rows = with_key(t.event_rows(spark, sf_dir).withColumnRenamed("offset", "event_id"), "id", t.EVENT_SPEC)
     topic = Topic(spark, scratch(spark, "topic"), "events")
     sent = topic.publish(rows, ["kafka_timestamp", "event_id"], t.event_messages)
-    return sent.select("event_id", "partition", "offset")
+    place = F.row_number().over(Window.partitionBy("partition").orderBy("offset")) - 1
+    return sent.select("event_id", "partition", place.cast("long").alias("offset"))
 
 
 # -- parsing ------------------------------------------------------------------------------
@@ -170,6 +174,10 @@ def time_parse(spark, sf_dir):
         iso("yyyy-MM-dd'T'HH:mm:ss").alias("iso_plain"),
         iso("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("iso_zone"),
         from_iso(F.lit("")).alias("iso_empty"),
+        iso("HH:mm").alias("iso_time"),
+        iso("yyyy").alias("iso_year"),
+        iso("yyyy-MM-dd").alias("iso_day"),
+        from_iso(F.col("event_type")).alias("iso_junk"),
     )
 
 
@@ -254,7 +262,7 @@ def late_changes(spark, sf_dir):
         stored_rows(with_order(latest_per_key(half, "id")), t.ORDER_SPEC)
         for half in (rows.filter(early), rows.filter(~early))
     )
-    merged = absorb(newer, older, t.ORDER_SPEC, "full_outer")
+    merged = absorb(newer, older, t.ORDER_SPEC)
     return merged.filter(~F.col("_deleted")).select(*t.ORDER_SPEC.columns)
 
 
@@ -483,6 +491,73 @@ def polling_capture(spark, sf_dir):
     return state.current()
 
 
+@query
+def drain_captured(spark, sf_dir):
+    """A log of several tables: only the captured ones reach the topic."""
+    topic = Topic(spark, scratch(spark, "topic"), "orders", t.TOPIC_PARTITIONS)
+    log, sent = t.order_changelog(spark, sf_dir), SentLog(spark, scratch(spark, "sent"))
+    jobs.drain(log, sent, topic, t.ORDER_SPEC, tables=["orders_1", "orders_2"])
+    return decode(topic.read()).groupBy("key").agg(F.count("*").alias("n"))
+
+
+@query
+def drain_late_commit(spark, sf_dir):
+    """Changes that commit after later ones were sent are sent by the next round, however old."""
+    topic = Topic(spark, scratch(spark, "topic"), "orders", t.TOPIC_PARTITIONS)
+    sent = SentLog(spark, scratch(spark, "sent"))
+    log = t.order_changelog(spark, sf_dir)
+    jobs.drain(log.filter(F.col("changed_at") >= t.at(t.ORDERS_CUT)), sent, topic, t.ORDER_SPEC)
+    late = jobs.drain(log, sent, topic, t.ORDER_SPEC)
+    return late.select("change_id", "changed_at")
+
+
+@query
+def poll_from_initial(spark, sf_dir):
+    """The first poll with a mark that names no zone, which is UTC."""
+    return poll_changes(t.polled_orders(spark, sf_dir), datetime.fromisoformat(t.ORDERS_CUT))
+
+
+@query
+def poll_iso(spark, sf_dir):
+    """Polled rows as messages of the ISO encoding and back."""
+    spec = replace(t.POLL_SPEC, time_format=ISO)
+    rows = with_key(t.stamped_orders(spark, sf_dir), "id", spec)
+    raw = poll_messages(rows, spec, "updated_at").select(
+        F.lit(0).alias("partition"),
+        F.col("id").alias("offset"),
+        "key",
+        F.col("value").alias("message"),
+        F.col("timestamp").alias("kafka_timestamp"),
+    )
+    return parse(raw, spec).select("id", "created_at")
+
+
+@query
+def changelog_micros(spark, sf_dir):
+    """The change log as messages of the microsecond encoding and back."""
+    spec = replace(t.ORDER_SPEC, time_format=MICROS)
+    sent = changelog_messages(t.order_changelog(spark, sf_dir), spec)
+    raw = sent.select(
+        F.lit(0).alias("partition"),
+        F.col("change_id").alias("offset"),
+        "key",
+        F.col("value").alias("message"),
+        F.col("timestamp").alias("kafka_timestamp"),
+    )
+    return parse(raw, spec).filter("reject IS NULL").select("offset", "id", "created_at")
+
+
+@query
+def state_by_offset(spark, sf_dir):
+    """The state by place in the topic alone, where record times run against the offsets."""
+    backwards = t.at(t.EVENTS_CUT) - F.make_dt_interval(secs=F.col("offset").cast("decimal(18,6)"))
+    raw = RawStore(spark, scratch(spark, "raw"))
+    state = StateStore(spark, scratch(spark, "state"), t.EVENT_SPEC)
+    jobs.land(t.events_topic(spark, sf_dir).withColumn("timestamp", backwards), raw)
+    jobs.materialize(raw, state, t.EVENT_SPEC, "replay", ("partition", "offset"))
+    return state.current()
+
+
 # -- streams ------------------------------------------------------------------------------
 
 

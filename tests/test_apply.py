@@ -47,8 +47,7 @@ def test_unknown_op_does_not_hide_a_change(spark):
     assert latest(spark, record(0, 1, key(1), message(1, "u")), record(0, 2, key(1), message(1, "t"))) == [(1, "u")]
 
 
-@pytest.mark.parametrize("how", ["full_outer", "lookup"])
-def test_merge_clauses(spark, how):
+def test_merge_clauses(spark):
     state = state_df(spark, (1, "a", 1), (2, "b", 2), (3, "c", 3), (4, "d", 4), (5, "e", 5), (6, "f", 6))
     inc = incoming(
         spark,
@@ -61,11 +60,11 @@ def test_merge_clauses(spark, how):
         (8, "h", 8, "d"),  # ignored
         (9, "i", 9, None),  # ignored
     )
-    merged = apply_changes(state, inc, USERS, how)
+    merged = apply_changes(state, inc, USERS)
     assert rows(merged, "ID", "name", "age") == [
         (1, "A", None), (3, "C", 9), (4, "D", 9), (5, "e", 5), (6, "f", 6), (7, "g", 7)
     ]
-    assert dict(rows(merge_actions(state, inc, USERS, how))) == {
+    assert dict(rows(merge_actions(state, inc, USERS))) == {
         "update": 3, "delete": 1, "untouched": 2, "insert": 1, "ignored": 2
     }
 
@@ -76,8 +75,7 @@ def test_merge_has_one_row_per_key(spark):
     assert rows(merged, "ID", "name") == [(0, "27"), (1, "28"), (2, "29"), (9, "y")]
 
 
-@pytest.mark.parametrize("how", ["full_outer", "lookup"])
-def test_absorb_ignores_older_changes(spark, how):
+def test_absorb_ignores_older_changes(spark):
     def stored(*records):
         return stored_rows(newest_changes(raw_df(spark, *records), USERS), USERS)
 
@@ -92,7 +90,7 @@ def test_absorb_ignores_older_changes(spark, how):
         record(0, 8, key(3), message(3, "u", name="y")),
         record(0, 9, key(4), message(4, "d")),
     )
-    got = rows(absorb(base, late, USERS, how), "ID", "name", "_deleted", "_order.offset")
+    got = rows(absorb(base, late, USERS), "ID", "name", "_deleted", "_order.offset")
     assert got == [(1, None, True, 5), (2, "new", False, 6), (3, "y", False, 8), (4, None, True, 9)]
 
 
@@ -128,7 +126,7 @@ def test_bucketed_state_is_not_shuffled(spark, tmp_path):
     store.load(state_df(spark, *[(i, "a", 1) for i in range(100)]))
     raw = raw_df(spark, *[record(0, n, key(n), message(n, "u")) for n in range(50, 150)])
     incoming = stored_rows(newest_changes(raw, USERS), USERS).repartition(4, "ID")
-    merged = absorb(store.rows(), incoming, USERS, "full_outer")
+    merged = absorb(store.rows(), incoming, USERS)
     text = plan(merged)
     assert "Bucketed: true" in text
     # One to rank the changes, one to match them to the buckets, none for the table.

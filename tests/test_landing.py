@@ -1,16 +1,22 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from rowtide.operators.audit import peek
-from rowtide.operators.numbering import number_rows
 from rowtide.operators.offsets import all_partitions, resume_offsets, since, starting_offsets_json
 from rowtide.operators.parse import decode
+from rowtide.plans import jobs
 from rowtide.plans.jobs import land, materialize
 from rowtide.session import scratch, work_dir
+from rowtide.sources.batches import Batches
+from rowtide.sources.changelog import SentLog
+from rowtide.sources.polled import Watermark
 from rowtide.sources.raw import RawStore
 from rowtide.sources.state import StateStore
-from rowtide.sources.topic import Topic, kafka_read_options, read_kafka, write_kafka
+from rowtide.sources.topic import KafkaTopic, Topic, kafka_read_options, read_kafka, sendable, write_kafka
 from rowtide.spec import USERS
+from rowtide.streaming import streams
 from tests.helpers import key, message, plan, record, rows, topic_df
 
 
@@ -101,7 +107,7 @@ def test_since_skips_files_and_shuffles_nothing(spark, tmp_path):
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
 
 
-def test_publish_gives_dense_ordered_offsets(spark, tmp_path):
+def test_publish_gives_ordered_offsets(spark, tmp_path):
     topic = Topic(spark, str(tmp_path / "topic"), "t", partitions=3)
     for start in (0, 1000):
         messages = spark.range(start, start + 1000, numPartitions=7).select(
@@ -119,33 +125,88 @@ def test_publish_gives_dense_ordered_offsets(spark, tmp_path):
     partition_of = {}
     for partition, sent in by_partition.items():
         sent.sort()
-        assert [o for o, _, _ in sent] == list(range(len(sent)))
+        assert len({o for o, _, _ in sent}) == len(sent)
         assert [m for _, m, _ in sent] == sorted(m for _, m, _ in sent)
         for _, _, k in sent:
             assert partition_of.setdefault(k, partition) == partition
 
 
-def test_a_hot_key_is_spread_over_tasks(spark):
-    messages = spark.range(0, 200_000, numPartitions=8).select(F.col("id").alias("seq"), F.lit(1).alias("partition"))
+def test_a_hot_key_is_spread_over_tasks(spark, tmp_path):
+    messages = spark.range(0, 200_000, numPartitions=8).selectExpr(
+        "id seq", "'k' key", "cast(id as string) value", "now() timestamp", "1 partition"
+    )
     conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
     before = {name: spark.conf.get(name) for name in conf}
     try:
         for name, value in conf.items():
             spark.conf.set(name, value)
-        numbered = number_rows(messages, "partition", ["seq"], "offset")
+        sent = Topic(spark, str(tmp_path / "topic"), "t").publish(messages, ["seq"])
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-    assert numbered.filter("offset <> seq").isEmpty()
-    sizes = [r["count"] for r in numbered.groupBy(F.input_file_name()).count().collect()]
+    value = F.col("value").cast("string").cast("long")
+    ordered = [r[0] for r in sent.orderBy("offset").select(value).collect()]
+    assert ordered == list(range(200_000))
+    sizes = [r["count"] for r in sent.groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 50_000
 
 
+def test_messages_for_kafka_are_shuffled_only_where_a_key_has_an_order(spark):
+    users = spark.createDataFrame([(1, "a", "e", 3, None), (2, "b", "f", 4, None)], USERS.state_schema)
+    topic = KafkaTopic(spark, "h:9092", "t")
+    made = {}
+
+    def publish(rows, order, render, ordered=True):
+        made[len(made)] = sendable(topic.messages(rows, render), order if ordered else None)
+        return spark.createDataFrame([], "change_id long, ID long, updated_at timestamp")
+
+    topic.publish = publish
+    jobs.snapshot(users, topic, USERS)
+    stamped = users.withColumn("updated_at", F.lit(None).cast("timestamp"))
+    jobs.poll(stamped, Watermark(spark, scratch(spark, "mark")), topic, USERS)
+    log = spark.sql(
+        "select 7L change_id, 'users' table_name, 'D' operation, 2L record_id, '{}' old_data, "
+        "cast(null as string) new_data, timestamp'2025-01-01' changed_at, false processed"
+    )
+    jobs.drain(log, SentLog(spark, scratch(spark, "sent")), topic, USERS)
+    assert [x.columns for x in made.values()] == [["key", "value"]] * 3
+    assert [x.count() for x in made.values()] == [2, 2, 1]
+    assert ["Exchange" in plan(x) for x in made.values()] == [False, False, True]
+
+
+def test_first_kafka_run_starts_at_the_beginning(spark, tmp_path):
+    raw = RawStore(spark, str(tmp_path / "raw"))
+    assert jobs.kafka_start(raw, "t", None) == "earliest"
+    land(records(spark, 1, *range(5)), raw)
+    assert json.loads(jobs.kafka_start(raw, "t", 3))["t"]["1"] == 5
+    assert len(json.loads(jobs.kafka_start(raw, "t", 3))["t"]) == 3
+    with pytest.raises(ValueError, match="number of partitions"):
+        jobs.kafka_start(raw, "t", None)
+
+
+def test_a_write_that_failed_half_way_is_seen_by_nobody(spark, tmp_path):
+    topic = Topic(spark, str(tmp_path / "topic"), "t")
+    topic.append(records(spark, 0, 0))
+    half = tmp_path / "topic" / "_writing" / "segment=00000002"
+    records(spark, 0, 1).write.parquet(str(half / "_temporary"))
+    assert topic.read().count() == 1 and topic.segments.last() == 1
+    stream = streams.read_topic_stream(topic)
+    raw = RawStore(spark, str(tmp_path / "raw"))
+    streams.stream_land(stream, raw, str(tmp_path / "ck")).awaitTermination()
+    assert rows(raw.read(), "offset") == [(0,)]
+
+
+def test_a_relative_path_is_the_working_directory(spark, tmp_path):
+    here = Batches(spark, "some/folder", "id long").path
+    assert here.startswith("file:") and here.endswith("/some/folder")
+
+
 def test_null_keys_are_published(spark, tmp_path):
     topic = Topic(spark, str(tmp_path / "topic"), "t")
     messages = spark.range(3).selectExpr("id as seq", "cast(null as string) key", "'v' value", "now() timestamp")
     topic.publish(messages, ["seq"])
-    assert rows(topic.read(), "key", "offset") == [(None, 0), (None, 1), (None, 2)]
+    assert rows(topic.read(), "key") == [(None,)] * 3
+    assert topic.read().select("offset").distinct().count() == 3
 
 
 def test_nothing_to_publish_leaves_no_segment(spark, tmp_path):

@@ -41,30 +41,18 @@ def test_merge_reuses_the_partitioning_of_the_ranking(spark):
     assert exchanges(QUERIES["merge_apply"](spark, SF)) == 2  # one per side, to rank it
 
 
-def test_small_changes_leave_the_state_where_it_is(spark, tmp_path):
-    state = spark.range(10_000).selectExpr("id ID", "'a' name", "'b' email", "1 age", "now() created_at")
-    state.write.parquet(str(tmp_path / "s"))
-    inc = spark.range(100).selectExpr("id * 200 ID", "'x' name", "'y' email", "2 age", "now() created_at", "'u' __op")
-    inc.write.parquet(str(tmp_path / "c"))
-    merged = apply_changes(
-        spark.read.parquet(str(tmp_path / "s")), spark.read.parquet(str(tmp_path / "c")), USERS, "auto"
-    )
-    assert exchanges(merged) == 0
-    assert merged.count() == 10_050
-    assert merged.filter("name = 'x'").count() == 100
-
-
-def test_large_changes_are_not_broadcast(spark, tmp_path):
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+def test_merge_has_one_plan_for_changes_of_any_size(spark):
     state = spark.range(1000).selectExpr("id ID", "'a' name", "'b' email", "1 age", "now() created_at")
     inc = state.withColumn("__op", F.lit("d")).filter("ID < 10")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
-    try:
-        merged = apply_changes(state, inc, USERS, "auto")
-        assert "Broadcast" not in plan(merged) and "FullOuter" in plan(merged)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plans = []
+    for most in ("100", "100m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+        merged = apply_changes(state, inc, USERS)
+        plans.append(plan(merged).count("FullOuter"))
         assert merged.count() == 990
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plans == [1, 1]
 
 
 def test_counting_actions_reads_keys_and_operations_only(spark):
