@@ -205,14 +205,19 @@ def test_differencing():
     assert sorted(sizes[final[:, 0] == k].sum() for k in (0, 1)) == [14, 16]
 
 
+def test_shards_of_one_level_are_even(docs):
+    sums = sharding.sharded(docs).groupBy("shard").agg(F.sum("size").alias("n")).toPandas().n
+    assert len(sums) == 24 and sums.max() - sums.min() <= 8
+
+
 def test_shards_over_levels(spark, docs, monkeypatch):
-    monkeypatch.setattr(sharding, "BUCKET", 50)
-    monkeypatch.setattr(sharding, "FAN", 4)
+    monkeypatch.setattr(sharding, "BUCKET", 250)
+    monkeypatch.setattr(sharding, "FAN", 2)
     monkeypatch.setattr(sharding, "STRETCH", 10)
     got = sharding.sharded(docs).toPandas()
     sums = got.groupby("shard")["size"].sum()
     assert len(got) == docs.count() and len(sums) == 24
-    assert sums.max() - sums.min() <= 0.001 * sums.max()
+    assert sums.max() <= 1.25 * sums.min()  # 10 groups a shard in a bucket, and few to combine
     assert got.groupby("text_crc32").shard.nunique().max() == 1
     for _, rows in got.groupby("shard"):
         assert sorted(rows.slot) == list(range(len(rows)))
