@@ -48,15 +48,23 @@ def _cut(column):
     return lowered(raw), bounds, first
 
 
+#: Two counters of 32 bits in a 64-bit number: no line has words enough to fill one.
+PAIR = np.uint64(1 << 32 | 1)
+
+
 def simhash(hashes: np.ndarray, weights: np.ndarray, lines: np.ndarray) -> np.ndarray:
-    """For each line with a word: the sign of the weighted sum of its words' bits, bit by bit."""
+    """For each line with a word: the bits that words of more than half its weight have."""
     starts = lines[:-1][np.diff(lines) > 0]
     out = np.zeros(len(starts), np.uint64)
-    if len(starts):
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        signed = (bits.view(np.int8) * 2 - 1) * weights[:, None].astype(np.int8)
-        sums = np.add.reduceat(signed, starts, axis=0, dtype=np.int32)
-        out = np.packbits(sums > 0, axis=1, bitorder="little").view("<u8").ravel()
+    if not len(starts):
+        return out
+    weights = weights.astype(np.uint64)
+    whole = np.add.reduceat(weights, starts)
+    for bit in range(32):
+        shift, high = np.uint64(bit), np.uint64(32)
+        sums = np.add.reduceat((hashes >> shift & PAIR) * weights, starts)
+        out |= (2 * (sums & np.uint64(0xFFFFFFFF)) > whole).astype(np.uint64) << shift
+        out |= (2 * (sums >> high) > whole).astype(np.uint64) << shift + high
     return out
 
 
