@@ -16,9 +16,10 @@ from rowtide.sources.polled import Watermark
 from rowtide.sources.raw import SCHEMA_VERSION, RawStore
 from rowtide.sources.state import StateStore
 from rowtide.sources.topic import KafkaTopic, Topic
-from rowtide.spec import USERS, USERS_ISO
+from rowtide.spec import PLACE, USERS, USERS_ISO
 
 SPECS = {"log": USERS, "polling": USERS, "trigger": USERS_ISO}
+ORDERS = {"time": PLACE, "offset": ("partition", "offset")}
 
 
 def _arguments(args: list[str] | None) -> argparse.Namespace:
@@ -45,6 +46,7 @@ def _arguments(args: list[str] | None) -> argparse.Namespace:
     topic(land)
     land.add_argument("--raw", required=True)
     land.add_argument("--schema-version", type=int, default=SCHEMA_VERSION)
+    land.add_argument("--files", type=int, help="most files of a landing; one for each input partition by default")
 
     materialize = job.add_parser("materialize", help="raw store to state table")
     materialize.add_argument("--raw", required=True)
@@ -52,6 +54,7 @@ def _arguments(args: list[str] | None) -> argparse.Namespace:
     materialize.add_argument("--state", required=True)
     materialize.add_argument("--mode", choices=["replay", "incremental"], default="incremental")
     materialize.add_argument("--buckets", type=int, help="bucket the state table by key")
+    materialize.add_argument("--order", choices=sorted(ORDERS), default="time", help="what decides the latest change; offset needs --mode replay")
     materialize.add_argument("--tombstones", choices=["ignore", "delete"], default="ignore")
 
     snapshot = job.add_parser("snapshot", help="whole table to topic")
@@ -104,13 +107,13 @@ def main(args: list[str] | None = None) -> None:
     if a.job == "land":
         raw = RawStore(spark, a.raw, a.schema_version)
         if a.topic_path:
-            jobs.land(topic().read(), raw)
+            jobs.land(topic().read(), raw, a.files)
         else:
-            jobs.land_kafka(raw, a.servers, a.topic, a.partitions)
+            jobs.land_kafka(raw, a.servers, a.topic, a.partitions, a.files)
     elif a.job == "materialize":
         raw = RawStore(spark, a.raw, a.schema_version)
         state = StateStore(spark, a.state, spec, a.buckets)
-        jobs.materialize(raw, state, spec, a.mode, tombstones=a.tombstones)
+        jobs.materialize(raw, state, spec, a.mode, ORDERS[a.order], tombstones=a.tombstones)
     elif a.job == "snapshot":
         jobs.snapshot(table(), topic(), spec)
     elif a.job == "drain":

@@ -68,8 +68,10 @@ def merge_actions(state: DataFrame, changes: DataFrame, spec: TableSpec) -> Data
 
 
 def stored_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """Ordered changes as store rows: a delete stays as a marked row that remembers its order."""
-    return changes.select(*spec.columns, (F.col("__op") == DELETE).alias(DELETED), ORDER)
+    """Ordered changes as store rows: a delete stays as a marked row of its key and order only."""
+    gone = F.col("__op") == DELETE
+    images = [F.when(gone, F.lit(None)).otherwise(F.col(quoted(c))).alias(c) for c in spec.fields]
+    return changes.select(quoted(spec.key), *images, gone.alias(DELETED), ORDER)
 
 
 def absorb(rows: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:

@@ -19,7 +19,7 @@ from rowtide.operators.latest import latest_per_key
 from rowtide.operators.offsets import all_partitions, from_points, starting_offsets_json
 from rowtide.operators.parse import changes, decode, with_order
 from rowtide.session import pinned
-from rowtide.sources.changelog import OLDEST_FIRST, SentLog, captured, pending
+from rowtide.sources.changelog import OLDEST_FIRST, SentLog, captured, in_open_days, pending
 from rowtide.sources.polled import Watermark, in_utc, next_watermark, poll_changes
 from rowtide.sources.raw import RawStore
 from rowtide.sources.state import StateStore
@@ -27,11 +27,15 @@ from rowtide.sources.topic import KafkaTopic, Topic, read_kafka
 from rowtide.spec import PLACE, TableSpec
 
 
-def land(records: DataFrame, raw: RawStore) -> int | None:
-    """Topic records to the raw store, from where the last landing ended. Nothing is shuffled."""
+def land(records: DataFrame, raw: RawStore, files: int | None = None) -> int | None:
+    """Topic records to the raw store, from where the last landing ended. Nothing is shuffled, and the
+    topic is read once. A landing has a file for each input partition, or at most ``files``."""
     start = pinned(raw.next_offsets())
-    new = decode(from_points(records, start))
-    return None if new.isEmpty() else raw.append(new, start=start)
+    return raw.append_some(_sized(decode(from_points(records, start)), files), start)
+
+
+def _sized(rows: DataFrame, files: int | None) -> DataFrame:
+    return rows if files is None else rows.coalesce(files)
 
 
 def kafka_start(raw: RawStore, topic: str, partitions: int | None) -> str:
@@ -45,11 +49,12 @@ def kafka_start(raw: RawStore, topic: str, partitions: int | None) -> str:
     return starting_offsets_json(all_partitions(landed, partitions), topic).first()["starting_offsets"]
 
 
-def land_kafka(raw: RawStore, servers: str, topic: str, partitions: int | None = None) -> int | None:
+def land_kafka(
+    raw: RawStore, servers: str, topic: str, partitions: int | None = None, files: int | None = None
+) -> int | None:
     """The same from a Kafka topic; needs Spark's Kafka connector."""
     start = kafka_start(raw, topic, partitions)
-    new = decode(read_kafka(raw.spark, servers, topic, start))
-    return None if new.isEmpty() else raw.append(new)
+    return raw.append_some(_sized(decode(read_kafka(raw.spark, servers, topic, start)), files))
 
 
 def newest_changes(
@@ -109,9 +114,10 @@ def drain(
     tables: Iterable[str] | None = None,
 ) -> DataFrame:
     """Send waiting changes, oldest first, then mark exactly those as sent. ``tables`` are the
-    captured ones; a log of several needs it, as a topic and a spec are of one table."""
+    captured ones; a log of several needs it, as a topic and a spec are of one table. Only days
+    that have waiting changes are compared change by change."""
     log = changelog if tables is None else captured(changelog, tables)
-    published = publish_changes(pending(log, sent.read(), limit), topic, spec)
+    published = publish_changes(pending(*in_open_days(log, sent.read()), limit), topic, spec)
     if not published.isEmpty():
         sent.mark(published)
     return published

@@ -68,15 +68,26 @@ class Batches:
     def write(self, df: DataFrame, number: int | None = None) -> int:
         """Write the next batch. Giving the number again replaces that batch, which makes the
         retry of a streaming micro-batch harmless."""
-        mode = "error" if number is None else "overwrite"
         number = self.last() + 1 if number is None else number
-        if mode == "error" and number in self._numbers(f"{self.prefix}=*", -1):
-            raise ValueError(f"{self.directory(number)} exists")
-        staged = f"{self.path}/_writing/{self.prefix}={number:08d}"
-        df.write.mode("overwrite").parquet(staged)
+        move(self.spark, self._stage(df, number), self.directory(number))
+        return number
+
+    def write_some(self, df: DataFrame) -> int | None:
+        """Write the next batch unless there are no rows. The rows are computed once: whether there
+        are any is asked of the written files, before a reader can see them."""
+        number = self.last() + 1
+        staged = self._stage(df, number)
+        if self.spark.read.schema(df.schema).parquet(staged).isEmpty():
+            delete_path(self.spark, staged)
+            return None
         move(self.spark, staged, self.directory(number))
         return number
 
+    def _stage(self, df: DataFrame, number: int) -> str:
+        staged = f"{self.path}/_writing/{self.prefix}={number:08d}"
+        df.write.mode("overwrite").parquet(staged)
+        return staged
+
     def drop(self, numbers: list[int]) -> None:
         for n in numbers:
             delete_path(self.spark, self.directory(n))

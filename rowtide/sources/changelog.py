@@ -10,19 +10,53 @@ from pyspark.sql import functions as F
 from rowtide.sources.batches import Batches
 
 OLDEST_FIRST = ["changed_at", "change_id"]
+#: Microseconds of a day.
+DAY = 86_400_000_000
 
 
 class SentLog:
-    """Ids of the changes that have reached the topic; the log itself is never updated."""
+    """Ids and days of the changes that have reached the topic; the log itself is never updated."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.ids = Batches(spark, path, "change_id long")
+        self.ids = Batches(spark, path, "change_id long, day long")
 
     def read(self) -> DataFrame:
         return self.ids.read()
 
     def mark(self, sent: DataFrame) -> int:
-        return self.ids.write(sent.select("change_id"))
+        return self.ids.write(sent.select("change_id", day(F.col("changed_at")).alias("day")))
+
+
+def day(at: Column) -> Column:
+    """Days since 1970 in UTC, whatever the session's zone."""
+    micros = F.unix_micros(at.cast("timestamp"))
+    return ((micros - F.pmod(micros, F.lit(DAY))) / DAY).cast("long")
+
+
+def _digests(ids: DataFrame, at: Column, name: str) -> DataFrame:
+    """One row per day: how many ids it has, and a hash of the set."""
+    return ids.groupBy(at.alias("day")).agg(F.struct(F.count("*"), F.bit_xor(F.xxhash64(F.col("change_id").cast("long")))).alias(name))
+
+
+def in_open_days(changelog: DataFrame, sent: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The log and the sent ids of the days that may have waiting changes.
+
+    A day is finished if the log and the sent ids agree on it; a change that commits late opens its day
+    again, however old. That takes one pass over ids and days, without a shuffle of ids. One row per
+    day comes to the driver, and the filters made of them reach both scans. Changes without a
+    time, and ids marked without a day, are always compared; so are days whose ids were marked twice.
+    """
+    at = F.col("changed_at")
+    waiting = _digests(changelog.filter(~F.col("processed")), day(at), "log")
+    days = waiting.join(_digests(sent, F.col("day"), "sent"), "day", "left")
+    found = [r["day"] for r in days.filter("day IS NOT NULL AND NOT (log <=> sent)").select("day").collect()]
+    if not found:
+        return changelog.filter(at.isNull()), sent.filter("day IS NULL")
+    bounds = [F.timestamp_micros(F.lit(d * DAY)).cast(changelog.schema["changed_at"].dataType) for d in (min(found), max(found) + 1)]
+    # Two filters, as a source takes only the one without a computed day.
+    near = changelog.filter(at.isNull() | ((at >= bounds[0]) & (at < bounds[1])))
+    near = near.filter(at.isNull() | day(at).isin(found))
+    return near, sent.filter(F.col("day").isNull() | F.col("day").isin(found))
 
 
 def captured(changelog: DataFrame, tables: Iterable[str]) -> DataFrame:

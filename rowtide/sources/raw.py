@@ -56,6 +56,14 @@ class RawStore:
     def append(self, decoded: DataFrame, number: int | None = None, start: DataFrame | None = None) -> int:
         """Add records; ``start`` are the resume points before them, if the caller has them."""
         number = self.records.write(decoded, number)
+        return self._reached(number, start)
+
+    def append_some(self, decoded: DataFrame, start: DataFrame | None = None) -> int | None:
+        """The same as the next landing, unless there is nothing new."""
+        number = self.records.write_some(decoded)
+        return None if number is None else self._reached(number, start)
+
+    def _reached(self, number: int, start: DataFrame | None) -> int:
         if start is None:
             points = self._points(before=number)
         else:

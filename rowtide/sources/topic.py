@@ -76,13 +76,11 @@ class Topic:
         )
         sent = sent.drop("_n", "next_offset").withColumn("topic", F.lit(self.name))
         sent = sent.withColumns({c: F.col(c).cast("binary") for c in ("key", "value")})
-        number = self.segments.write(sent)
-        staged = self.spark.read.schema(sent.schema).parquet(self.segments.directory(number))
-        if staged.isEmpty():
-            self.segments.drop([number])
+        number = self.segments.write_some(sent)
+        if number is None:
             return self.spark.createDataFrame([], sent.schema)
         self.points.save(self.ends(), number)
-        return staged
+        return self.spark.read.schema(sent.schema).parquet(self.segments.directory(number))
 
 
 def kafka_read_options(servers: str, topic: str, starting_offsets: str = "earliest") -> dict[str, str]:

@@ -57,3 +57,10 @@ def key(id: int) -> str:
 
 def plan(df: DataFrame) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def pushed_filters(df: DataFrame) -> str:
+    """The formatted plan, whose lists of pushed filters are not cut."""
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )

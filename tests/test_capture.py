@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from rowtide.operators import audit
 from rowtide.operators.capture import changelog_envelope, poll_envelope, snapshot_messages
 from rowtide.plans import jobs
-from rowtide.sources.changelog import SentLog, captured, pending, purge_before, with_processed
+from rowtide.sources.changelog import SentLog, captured, in_open_days, pending, purge_before, with_processed
 from rowtide.sources.jdbc import jdbc_options
 from rowtide.sources.polled import Watermark, next_watermark, poll_changes
 from rowtide.sources.topic import Topic
 from rowtide.spec import CHANGELOG_SCHEMA, USERS, USERS_ISO
-from tests.helpers import micros, plan, rows, utc
+from tests.helpers import micros, plan, pushed_filters, rows, utc
 
 AT = "2025-11-24 21:10:00"
 
@@ -76,7 +76,37 @@ def test_a_lost_mark_repeats_messages_but_loses_none(spark, tmp_path):
     sent.ids.drop(sent.ids.numbers())
     jobs.drain(simple(spark, 1, 2, 3), sent, topic, USERS_ISO)
     assert topic.read().count() == 5
-    assert rows(sent.read()) == [(1,), (2,), (3,)]
+    assert rows(sent.read(), "change_id") == [(1,), (2,), (3,)]
+
+
+def test_only_open_days_are_read(spark, tmp_path):
+    path, sent = str(tmp_path / "log"), SentLog(spark, str(tmp_path / "s"))
+    topic = Topic(spark, str(tmp_path / "t"), "users")
+    log = simple(spark, 1, 2, at="2025-01-01 23:59:59").union(simple(spark, 3, at="2025-01-02 00:00:00"))
+    log.write.parquet(path)
+    jobs.drain(spark.read.parquet(path), sent, topic, USERS_ISO)
+    assert rows(sent.read()) == [(1, 20089), (2, 20089), (3, 20090)]
+    none, done = in_open_days(spark.read.parquet(path), sent.read())
+    assert none.isEmpty() and done.isEmpty()
+    # A late commit opens its day again, and only that.
+    simple(spark, 4, at="2025-01-02 12:00:00").write.mode("append").parquet(path)
+    log = spark.read.parquet(path)
+    near, done = in_open_days(log, sent.read())
+    assert rows(near, "change_id") == [(3,), (4,)] and rows(done, "change_id") == [(3,)]
+    pushed = re.findall(r"PushedFilters: .*", pushed_filters(pending(near, done)))
+    assert any("GreaterThanOrEqual(changed_at,2025-01-02" in x and "LessThan(changed_at,2025-01-03" in x for x in pushed)
+    assert any("EqualTo(day,20090)" in x or "In(day, [20090])" in x for x in pushed)
+    assert rows(jobs.drain(log, sent, topic, USERS_ISO), "change_id") == [(4,)]
+    assert jobs.drain(log, sent, topic, USERS_ISO).isEmpty()
+
+
+def test_days_with_repeated_marks_or_without_a_day_stay_open(spark):
+    log = simple(spark, 1, 2, 3).union(log_df(spark, (9, "users", "I", 9, None, "{}", "2025-01-01", False)))
+    log = log.withColumn("changed_at", F.expr("CASE WHEN change_id < 9 THEN changed_at END"))
+    twice = spark.createDataFrame([(1, 20416), (1, 20416), (2, 20416)], "change_id long, day long")
+    assert rows(pending(*in_open_days(log, twice)), "change_id") == [(3,), (9,)]
+    undated = spark.createDataFrame([(1, None), (2, None), (9, None)], "change_id long, day long")
+    assert rows(pending(*in_open_days(log, undated)), "change_id") == [(3,)]
 
 
 def test_audit(spark):

@@ -39,6 +39,29 @@ def test_landing_resumes_per_partition(spark, tmp_path):
     assert land(more, raw) is None
 
 
+def test_a_landing_reads_the_topic_once(spark, tmp_path):
+    raw, read = RawStore(spark, str(tmp_path / "raw")), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    source = records(spark, 0, *range(40)).repartition(8)
+    source = source.mapInPandas(count, source.schema)
+    assert land(source, raw) == 1 and read.value == 40
+    assert land(source, raw) is None and read.value == 80
+    assert raw.records._glob("_writing/*") == []
+
+
+def test_a_landing_has_as_many_files_as_told(spark, tmp_path):
+    source = records(spark, 0, *range(40)).repartition(8)
+    for files, most in ((None, 8), (2, 2)):
+        raw = RawStore(spark, str(tmp_path / f"raw{files}"))
+        land(source, raw, files)
+        assert len(raw.records._glob("batch=*/part-*")) == most and raw.read().count() == 40
+
+
 def test_landing_in_slices_equals_landing_once(spark, tmp_path):
     whole = records(spark, 0, *range(20)).union(records(spark, 1, *range(0, 40, 3)))
     once, sliced = RawStore(spark, str(tmp_path / "a")), RawStore(spark, str(tmp_path / "b"))
