@@ -95,7 +95,7 @@ def test_trigger_capture(spark, tmp_path, mode):
         flow.sync(mode)
     assert flow.ops() == ["c1001", "c1002", "c1003", "d1002", "u1001"]
     assert rows(flow.state.current(), "ID", "email", "age") == AFTER
-    assert rows(sent.read()) == [(100,), (101,), (200,), (201,), (202,)]
+    assert rows(sent.read(), "change_id") == [(100,), (101,), (200,), (201,), (202,)]
     assert jobs.drain(log, sent, flow.topic, USERS_ISO).count() == 0
     assert flow.topic.read().count() == 5
 
