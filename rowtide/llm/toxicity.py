@@ -135,44 +135,56 @@ def _curve(evidence: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> tuple[
     return float(weight[0]), float(weight[1])
 
 
-def _labelled(documents: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
-    """A bounded sample of texts with their labels, out of fold 0 of 5. Of several labels the greatest holds."""
+def _learnable(documents: DataFrame, labels: DataFrame, fit_rows: int) -> tuple[DataFrame, np.ndarray]:
+    """All texts out of fold 0 of 5, a bounded sample of them with their labels (others null), and the share of
+    the clean and of the toxic labels that is drawn. Of several labels the greatest holds."""
     known = labels.select(col("doc_id").alias("doc_id"), col("toxic").cast("int").alias("toxic"))
     known = known.filter(fold("doc_id", 5) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("toxic IN (0, 1)")
     counts = {x["toxic"]: x["n"] for x in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    share = F.when(F.col("toxic") == 1, min(1.0, fit_rows / counts.get(1, 1))).otherwise(min(1.0, fit_rows / counts.get(0, 1)))
+    shares = np.array([min(1.0, fit_rows / counts.get(k, 1)) for k in (0, 1)])
+    share = F.when(F.col("toxic") == 1, float(shares[1])).otherwise(float(shares[0]))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 20)) < share * (1 << 20)
     # About 2 * fit_rows pairs of numbers, whatever the input.
     sample = F.broadcast(known.filter(drawn))
     texts = documents.select(col("doc_id").alias("doc_id"), col("text").alias("text")).filter("text IS NOT NULL")
-    return texts.join(sample, "doc_id").select("text", "toxic")
+    learnable = texts.filter(fold("doc_id", 5) != 0)
+    return learnable.join(sample, "doc_id", "left").select("text", "toxic"), shares
 
 
 def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """Learn word scores, the extreme-value law and the curve from labelled documents."""
-    rows = _labelled(documents, labels, fit_rows)
+    """Learn word scores, the extreme-value law and the curve from labelled documents.
+
+    The prior's word shares are those of all documents. The curve weighs each class by 1 / its drawn share, so
+    that a score means the same whether labels are sampled or not.
+    """
+    rows, shares = _learnable(documents, labels, fit_rows)
 
     def count(batches):
-        sums = np.zeros((2, BUCKETS), np.int64)
+        sums = np.zeros((3, BUCKETS), np.int64)  # clean, toxic, all
         for batch in batches:
             for piece in slices(batch, lambda x: x.column("text")):
                 word, stem, docs = features(piece.column("text"))
-                toxic = np.array(piece.column("toxic").to_pylist(), np.int64)
+                toxic = pc.fill_null(piece.column("toxic"), 2).to_numpy(zero_copy_only=False).astype(np.int64)
                 owner = np.repeat(np.arange(len(toxic)), np.diff(docs))
                 for found in (word, stem):
                     pair = np.unique(owner * BUCKETS + found)  # a text counts a word once
-                    np.add.at(sums.reshape(-1), toxic[pair // BUCKETS] * BUCKETS + pair % BUCKETS, 1)
+                    label, bucket = toxic[pair // BUCKETS], pair % BUCKETS
+                    sums[2] += np.bincount(bucket, minlength=BUCKETS)
+                    some = label < 2
+                    np.add.at(sums.reshape(-1), label[some] * BUCKETS + bucket[some], 1)
         bucket = np.flatnonzero(sums.any(0)).astype(np.int32)
-        columns = [pa.array(x) for x in (bucket, sums[0, bucket], sums[1, bucket])]
-        yield pa.RecordBatch.from_arrays(columns, ["bucket", "clean", "toxic"])
-
-    parts = rows.mapInArrow(count, "bucket int, clean long, toxic long")
-    sums = parts.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
-    counts = np.zeros((2, BUCKETS))
-    counts[:, sums["bucket"].to_numpy()] = sums["clean"].to_numpy(), sums["toxic"].to_numpy()
+        columns = [pa.array(x) for x in (bucket, *sums[:, bucket])]
+        yield pa.RecordBatch.from_arrays(columns, ["bucket", *kinds])
+
+    kinds = ("clean", "toxic", "every")
+    parts = rows.mapInArrow(count, "bucket int, clean long, toxic long, every long")
+    sums = parts.groupBy("bucket").agg(*[F.sum(x).alias(x) for x in kinds]).toArrow()
+    counts = np.zeros((3, BUCKETS))
+    counts[:, sums["bucket"].to_numpy()] = [sums[x].to_numpy() for x in kinds]
+    counts, every = counts[:2], counts[2]
     if not counts.sum(1).all():
         return Model(np.zeros(BUCKETS), DRIFT, 1.0, 0.0, -1.0)
-    prior = FLAT + PRIOR * counts.sum(0) / counts.sum()
+    prior = FLAT + PRIOR * every / every.sum()
     size = counts.sum(1) + prior.sum()
     odds = [np.log((counts[k] + prior) / (size[k] - counts[k] - prior)) for k in (0, 1)]
     error = np.sqrt((1 / (counts + prior)).sum(0))
@@ -193,10 +205,11 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mo
                 columns = [pa.array(number), piece.column("toxic")]
                 yield pa.RecordBatch.from_arrays(columns, ["bin", "toxic"])
 
-    table = rows.mapInArrow(bins, "bin int, toxic int").groupBy("bin", "toxic").agg(F.count("*").alias("n")).toArrow()
+    table = rows.filter("toxic IS NOT NULL").mapInArrow(bins, "bin int, toxic int").groupBy("bin", "toxic").agg(F.count("*").alias("n")).toArrow()
     n = np.zeros((2, BINS))
     n[table["toxic"].to_numpy(), table["bin"].to_numpy()] = table["n"].to_numpy()
-    model.slope, model.offset = _curve(FLOOR + (np.arange(BINS) + 0.5) * width, n[1], n[0])
+    clean_n, toxic_n = n / shares[:, None]
+    model.slope, model.offset = _curve(FLOOR + (np.arange(BINS) + 0.5) * width, toxic_n, clean_n)
     return model
 
 

@@ -138,3 +138,14 @@ def test_null_urls(spark):
         ("a.net", "/es/"): ("net/es/", "block"),
     }
     assert url_filter.judged(pages.limit(0), RULES, F.lit(True)).count() == 0
+
+
+def test_toxicity_scores_do_not_depend_on_the_sample(spark):
+    """Labels that say nothing of the text: every score is the share of toxic labels, sampled or not."""
+    rows = [(n, " ".join(f"w{(n * 7 + k) % 50}" for k in range(12)), "en") for n in range(2000)]
+    every = documents(spark, rows)
+    known = labels(spark, [(n, 1, int(n // 50 % 10 == 3)) for n in range(2000)])
+    for fit_rows in (10_000, 150):
+        model = toxicity.fit(every, known, fit_rows)
+        got = toxicity.scored(every.selectExpr("struct(doc_id, text) AS row"), model).agg(F.avg("score"), F.max("score")).first()
+        assert abs(got[0] - 0.1) < 0.03 and got[1] < 0.5
