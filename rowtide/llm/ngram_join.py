@@ -184,9 +184,11 @@ def candidates(signs: DataFrame, threshold: float, depth: int) -> DataFrame:
     return dealt.mapInArrow(link, "low binary, high binary")
 
 
-def verify(sets: list[np.ndarray], side: np.ndarray, threshold: float) -> np.ndarray:
-    """Which pairs of sets have the Jaccard similarity; of two sides, pairs across them only."""
+def verify(sets: list[np.ndarray], side: np.ndarray, threshold: float, across: bool) -> np.ndarray:
+    """Which pairs of sets have the Jaccard similarity; ``across``: pairs of two sides only, none if one is empty."""
     n = len(sets)
+    if across and side.min() == side.max():
+        return np.zeros((n, n), bool)
     sizes = np.array([len(x) for x in sets], np.int64)
     owner = np.repeat(np.arange(n), sizes)
     every, which = np.unique(np.concatenate(sets), return_inverse=True)
@@ -206,7 +208,7 @@ def verify(sets: list[np.ndarray], side: np.ndarray, threshold: float) -> np.nda
     least = threshold / (1 + threshold) * (sizes[:, None] + sizes)
     near = both >= least - 1e-6
     np.fill_diagonal(near, False)
-    if side.min() != side.max():
+    if across:
         near &= side[:, None] != side
     return near
 
@@ -241,11 +243,12 @@ def verified(documents: DataFrame, signs: DataFrame, groups: DataFrame, threshol
         for rows, starts in whole_groups(batches, *unit):
             keys, out = rows.column("key").to_pylist(), []
             mine = rows.column("mine").to_numpy()
+            across = rows.column("low_block").to_numpy() != rows.column("high_block").to_numpy()
             data = [np.frombuffer(x, np.uint64) for x in rows.column("set").to_pylist()]
             for begin, end in zip(starts[:-1], starts[1:], strict=True):
                 if end - begin < 2:
                     continue
-                near = verify(data[begin:end], mine[begin:end], threshold)
+                near = verify(data[begin:end], mine[begin:end], threshold, across[begin])
                 counts = near.sum(1)
                 out.extend((keys[begin + x], None, int(counts[x])) for x in np.flatnonzero(counts).tolist())
                 out.extend((keys[begin + a], keys[begin + b], 0) for a, b in forest(near))

@@ -104,6 +104,15 @@ def test_large_group_of_near_copies_is_cut_into_blocks(spark, monkeypatch):
     assert whole == cut and {x.class_id for x in cut} == {0} and {x.n_links for x in cut} == {59}
 
 
+def test_links_are_counted_once_if_a_block_is_empty(spark, monkeypatch):
+    """Groups of two in two blocks each: about half of them have both sets in one block."""
+    base = [f"w{n}" for n in range(120)]
+    rows = [(2 * g + k, " ".join(f"g{g}{w}" for w in base[k:]), "en") for g in range(20) for k in (0, 1)]
+    monkeypatch.setattr(ngram_join, "GROUP", 1024)
+    got = ngram_join.classes(documents(spark, rows)).collect()
+    assert {x.doc_id: (x.class_id, x.n_links) for x in got} == {i: (i // 2 * 2, 1) for i, _, _ in rows}
+
+
 def test_edit_distance_and_simhash():
     random.seed(2)
 
