@@ -10,7 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.session import delete_path, scratch
+from rowtide.session import delete_path, pinned, scratch
+
+#: Keys with more than one row in this many are joined by a broadcast.
+HEAVY = 10_000
 
 
 def quoted(name: str) -> str:
@@ -82,3 +85,15 @@ def halves(df: DataFrame, sub: str, size: str, most: int) -> DataFrame:
         .withColumn("high_block", F.greatest("mine", "other"))
         .drop("blocks", "other")
     )
+
+
+def looked_up(rows: DataFrame, facts: DataFrame, keys: list[str], counts: DataFrame, total: int) -> DataFrame:
+    """``rows`` left joined with ``facts``, which has each key once, whatever a key's share of the rows.
+
+    ``counts`` has the keys and ``n``, how many of the ``total`` rows have them. The facts of keys with more than one
+    row in ``HEAVY`` (fewer than ``HEAVY`` keys) are broadcast; all other rows are joined by a shuffle.
+    """
+    heavy = pinned(facts.join(counts.filter(F.col("n") * HEAVY > total).select(*keys), keys, "left_semi"))
+    often = rows.join(F.broadcast(heavy), keys)
+    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(facts, keys, "left")
+    return often.unionByName(rest)

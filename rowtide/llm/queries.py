@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.llm import (
+    alignment,
     decontamination,
     exact,
     language,
@@ -15,10 +16,12 @@ from rowtide.llm import (
     lines,
     ngram_join,
     packing,
+    prefix_trie,
     sharding,
     toxicity,
     url_filter,
 )
+from rowtide.llm.frames import kept, looked_up
 from rowtide.session import utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +120,45 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.judged(read(spark, sf_dir, "pages"), RULES, F.length("html") < THIN)
 
 
+def forked(turns: DataFrame, conversations: DataFrame) -> DataFrame:
+    """The contract's conversations: the first turns of conversation c - c % 20, then c's own turns after as many."""
+    forks = conversations.select(
+        "conv_id",
+        (F.col("conv_id") - F.col("conv_id") % 20).alias("base"),
+        (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).alias("h"),
+    )
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    first = turns.filter("conv_id % 20 = 0 AND place < 3").withColumnRenamed("conv_id", "base")
+    first = first.join(forks, "base").filter("place < h").select(*turns.columns)
+    # Where the other conversation has fewer than h turns, or is not there, the own turns move up.
+    short = forks.join(first.groupBy("conv_id").agg(F.count("*").alias("had")), "conv_id", "left")
+    short = short.select("conv_id", (F.col("h") - F.coalesce("had", F.lit(0))).alias("missing")).filter("missing > 0")
+    sizes = turns.groupBy("conv_id").agg(F.count("*").alias("n"))
+    own = looked_up(turns.filter(F.col("place") >= h), short, ["conv_id"], sizes, turns.count())
+    own = own.withColumn("place", F.col("place") - F.coalesce("missing", F.lit(0)))
+    return first.unionByName(own.select(*turns.columns))
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    conversations = read(spark, sf_dir, "conversations")
+    turns, _ = prefix_trie.placed(conversations)
+    ids, _ = kept(turns.select("conv_id").distinct(), "conversations")
+    return prefix_trie.prefix_trie(forked(turns, ids), ids).drop("k1", "k2")
+
+
+#: Vocabulary files of the contract's two tokenizers.
+BYTE_BPE, PIECES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query
+def op12_alignment(spark, sf_dir):
+    found = alignment.aligned(read(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    found, _ = kept(found.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return alignment.weighed(found, alignment.pair_counts(found, alignment.n_pieces(spark, PIECES)))
+
+
 ORACLE: dict[str, str] = {}
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -173,6 +215,41 @@ FROM p LEFT JOIN best ON p.host = best.host AND p.path = best.path
 LEFT JOIN listed ON p.host = listed.host AND p.path = listed.path
 """
 
+_CRC32 = """xor(4294967295, list_reduce([4294967295::BIGINT] || [CAST(ord(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')],
+    lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+ORACLE["op11_prefix_trie"] = rf"""
+WITH given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+t AS (
+    SELECT conv_id, {{'role': role, 'text': text}} AS said,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) - 1 AS p FROM given),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h FROM (SELECT DISTINCT conv_id FROM given)),
+first_turns AS (SELECT c.conv_id, p, said FROM c JOIN t ON t.conv_id = base WHERE p < h),
+had AS (SELECT conv_id, count(*) AS had FROM first_turns GROUP BY conv_id),
+turns AS (
+    SELECT * FROM first_turns UNION ALL
+    SELECT conv_id, p - h + coalesce(had, 0), said FROM t JOIN c USING (conv_id) LEFT JOIN had USING (conv_id) WHERE p >= h),
+said AS (
+    SELECT c.conv_id, coalesce(s, []) AS s
+    FROM c LEFT JOIN (SELECT conv_id, list(said ORDER BY p) AS s FROM turns GROUP BY conv_id) USING (conv_id)),
+nodes AS (
+    SELECT s[1:d] AS k, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+        string_agg(CASE WHEN len(s) = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends
+    FROM said, unnest(range(0, len(s) + 1)) AS r(d) GROUP BY ALL),
+kids AS (SELECT k[1:d - 1] AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+own AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children,
+        CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(k[d].text, '[^\x20\x09-\x0D]+')) END AS saved
+    FROM nodes LEFT JOIN kids USING (k)),
+sums AS (
+    SELECT k[1:a] AS k, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+    FROM own, unnest(range(0, d + 1)) AS r(a) GROUP BY ALL)
+SELECT own.conv_id, own.d AS depth, above.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves,
+    CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(own.ends, '')) AS ends_sha256
+FROM own JOIN sums USING (k) LEFT JOIN nodes above ON own.d > 0 AND above.k = own.k[1:own.d - 1]
+"""
+
 _VALUES = ", ".join(f"('{name}', {n}, '{text}')" for n, (name, text) in enumerate(licences.TEMPLATES))
 
 ORACLE["op5_licences"] = rf"""
