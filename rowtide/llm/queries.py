@@ -11,6 +11,7 @@ from rowtide.llm import (
     alignment,
     decontamination,
     exact,
+    fingerprint,
     language,
     licences,
     lines,
@@ -159,6 +160,20 @@ def op12_alignment(spark, sf_dir):
     return alignment.weighed(found, alignment.pair_counts(found, alignment.n_pieces(spark, PIECES)))
 
 
+@query
+def op13_fingerprints(spark, sf_dir):
+    found = fingerprint.fingerprinted(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint.fingerprint(F.col("numbers")).alias("fingerprint"),
+        fingerprint.fingerprint(F.col("edited_numbers")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 ORACLE: dict[str, str] = {}
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
