@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 
@@ -17,11 +18,12 @@ from rowtide.operators.capture import (
 )
 from rowtide.operators.latest import latest_per_key
 from rowtide.operators.offsets import all_partitions, from_points, starting_offsets_json
-from rowtide.operators.parse import changes, decode, with_order
+from rowtide.operators.parse import accepted, changes, decode, parse, quarantined, with_order
 from rowtide.session import pinned
 from rowtide.sources.changelog import OLDEST_FIRST, SentLog, captured, in_open_days, pending
 from rowtide.sources.polled import Watermark, in_utc, next_watermark, poll_changes
 from rowtide.sources.raw import RawStore
+from rowtide.sources.rejects import Rejects, Tally
 from rowtide.sources.state import StateStore
 from rowtide.sources.topic import KafkaTopic, Topic, read_kafka
 from rowtide.spec import PLACE, TableSpec
@@ -64,12 +66,22 @@ def newest_changes(
     return with_order(latest_per_key(changes(raw, spec, **options), spec.key, order))
 
 
+def newest_and_rejected(
+    raw: DataFrame, spec: TableSpec, order: tuple[str, ...] = PLACE, **options: str
+) -> tuple[DataFrame, DataFrame, Tally]:
+    """The same, what is rejected, and the counts of both, which are there once the first has been computed."""
+    tally, parsed = Tally(), parse(raw, spec, **options)
+    usable = accepted(tally.over(parsed), spec)
+    return with_order(latest_per_key(usable, spec.key, order)), quarantined(parsed), tally
+
+
 def materialize(
     raw: RawStore,
     state: StateStore,
     spec: TableSpec,
     mode: str = "incremental",
     order: tuple[str, ...] = PLACE,
+    rejects: Rejects | None = None,
     **options: str,
 ) -> int | None:
     """Raw store to state table.
@@ -78,6 +90,10 @@ def materialize(
     records beyond those applied and writes only the keys they touch. Both give the same state.
     ``order`` ranks the changes of a key; an order other than by record time needs ``replay``, as
     stored rows are compared by their whole place.
+
+    With ``rejects`` the records that cannot be applied are kept there with their reasons, and how many records of
+    each kind were read. They are counted in the pass that makes the state; only a run that has rejects reads its
+    records again, to write them. They are in place before the version of the state is.
     """
     if order != PLACE and mode != "replay":
         raise ValueError("an order of its own needs mode replay")
@@ -86,11 +102,22 @@ def materialize(
     if mode == "replay":
         if not raw.records.numbers():
             return None
-        points = pinned(raw.next_offsets())
-        newest = newest_changes(raw.read(), spec, order, **options)
-        return state.rebuild(newest, points, afresh=order != PLACE)
-    records, points = raw.read_since(state.applied_offsets())
-    return None if records.isEmpty() else state.apply(newest_changes(records, spec, **options), points)
+        records, points = raw.read(), pinned(raw.next_offsets())
+        apply = partial(state.rebuild, points=points, afresh=order != PLACE)
+    else:
+        applied = pinned(state.applied_offsets())
+        records, reached = raw.read_since(applied)
+        points = pinned(reached)
+        if sorted(points.collect()) == sorted(applied.collect()):  # a row for each topic partition
+            return None
+        apply = partial(state.apply, points=points)
+    if rejects is None:
+        return apply(newest_changes(records, spec, order, **options))
+    newest, rejected, tally = newest_and_rejected(records, spec, order, **options)
+    number = apply(newest, beside=lambda number: rejects.save(rejected, tally.counts(), number))
+    if mode == "replay":
+        rejects.forget(number)
+    return number
 
 
 def snapshot(table: DataFrame, topic: Topic | KafkaTopic, spec: TableSpec, at: Column | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,11 +66,15 @@ class Batches:
             self.prefix, "number"
         )
 
-    def write(self, df: DataFrame, number: int | None = None) -> int:
+    def write(self, df: DataFrame, number: int | None = None, beside: Callable[[int], None] | None = None) -> int:
         """Write the next batch. Giving the number again replaces that batch, which makes the
-        retry of a streaming micro-batch harmless."""
+        retry of a streaming micro-batch harmless. ``beside`` is called with the number when the rows are
+        written, before a reader can see them."""
         number = self.last() + 1 if number is None else number
-        move(self.spark, self._stage(df, number), self.directory(number))
+        staged = self._stage(df, number)
+        if beside:
+            beside(number)
+        move(self.spark, staged, self.directory(number))
         return number
 
     def write_some(self, df: DataFrame) -> int | None:
@@ -116,13 +121,16 @@ class BucketedBatches(Batches):
         )
         return self.spark.table(table)
 
-    def write(self, df: DataFrame, number: int | None = None) -> int:
+    def write(self, df: DataFrame, number: int | None = None, beside: Callable[[int], None] | None = None) -> int:
+        """A bucketed batch is a table, which cannot be moved: ``beside`` is called after readers see it."""
         mode = "error" if number is None else "overwrite"
         number = self.last() + 1 if number is None else number
         # A task holds whole buckets, so there is one file for each.
         dealt = df.repartition(self.buckets, self.key)
         writer = dealt.write.mode(mode).format("parquet").bucketBy(self.buckets, self.key)
         writer.option("path", self.directory(number)).saveAsTable(self._table(number))
+        if beside:
+            beside(number)
         return number
 
     def drop(self, numbers: list[int]) -> None:

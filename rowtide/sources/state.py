@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from rowtide.sources.batches import Batches, BucketedBatches
 from rowtide.sources.points import ResumePoints
 from rowtide.spec import DELETED, ORDER, ORDER_TYPE, STORED_PLACE, TableSpec
 
+Beside = Callable[[int], None] | None
+
 
 class StateStore:
     """One row per key, with hidden columns for the order of the change that made it and for
@@ -75,8 +79,8 @@ class StateStore:
         """
         return self.points.get(self.versions(), self._places, before)
 
-    def _commit(self, kind: Batches, rows: DataFrame, points: DataFrame | None) -> int:
-        number = kind.write(rows, self._next())
+    def _commit(self, kind: Batches, rows: DataFrame, points: DataFrame | None, beside: Beside = None) -> int:
+        number = kind.write(rows, self._next(), beside)
         self.points.save(self.applied_offsets(before=number) if points is None else points, number)
         return number
 
@@ -87,19 +91,22 @@ class StateStore:
         )
         return self._commit(self.fulls, rows, None)
 
-    def apply(self, latest: DataFrame, points: DataFrame | None = None) -> int:
+    def apply(self, latest: DataFrame, points: DataFrame | None = None, beside: Beside = None) -> int:
         """Record the latest ordered change of each touched key. ``points`` are the resume
-        points after the records the changes come from, unusable ones included."""
-        return self._commit(self.deltas, stored_rows(latest, self.spec), points)
+        points after the records the changes come from, unusable ones included. ``beside`` is called with the
+        version's number once the changes have been computed, before the version is in place."""
+        return self._commit(self.deltas, stored_rows(latest, self.spec), points, beside)
 
-    def rebuild(self, latest: DataFrame, points: DataFrame | None = None, afresh: bool = False) -> int:
+    def rebuild(
+        self, latest: DataFrame, points: DataFrame | None = None, afresh: bool = False, beside: Beside = None
+    ) -> int:
         """Merge many changes at once and write the whole table; ``afresh`` from these alone."""
         incoming = stored_rows(latest, self.spec)
         if self.buckets:
             # Match the table's buckets, or Spark may shuffle the table to match the changes.
             incoming = incoming.repartition(self.buckets, self.spec.key)
         rows = absorb(self.rows(), incoming, self.spec) if self.exists() and not afresh else incoming
-        return self._commit(self.fulls, rows, points)
+        return self._commit(self.fulls, rows, points, beside)
 
     def compact(self) -> int:
         """Write the merged table as a new full version."""

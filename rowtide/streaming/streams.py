@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.operators.parse import decode
-from rowtide.plans.jobs import newest_changes, publish_changes
+from rowtide.plans.jobs import newest_and_rejected, newest_changes, publish_changes
 from rowtide.session import path_exists
 from rowtide.sources.raw import RawStore
+from rowtide.sources.rejects import Rejects
 from rowtide.sources.state import StateStore
 from rowtide.sources.topic import Topic, kafka_read_options
 from rowtide.spec import RAW_SCHEMA, TOPIC_SCHEMA, TableSpec
@@ -66,14 +67,20 @@ def stream_apply(
     spec: TableSpec,
     checkpoint: str,
     trigger: dict | None = None,
+    rejects: Rejects | None = None,
     **options: str,
 ) -> StreamingQuery:
     """Topic or landed records to the state table. A micro-batch writes only the keys it touches;
-    ``compact`` them into a full version by a job of its own. Retries change nothing."""
+    ``compact`` them into a full version by a job of its own. Retries change nothing. ``rejects`` keeps what cannot
+    be applied and the counts, by the number of the micro-batch; it is of this stream alone."""
 
     def each(batch: DataFrame, number: int) -> None:
         landed = decode(batch) if "value" in batch.columns else batch
-        state.apply(newest_changes(landed, spec, **options))
+        if rejects is None:
+            state.apply(newest_changes(landed, spec, **options))
+            return
+        newest, rejected, tally = newest_and_rejected(landed, spec, **options)
+        state.apply(newest, beside=lambda _: rejects.save(rejected, tally.counts(), number + 1))
 
     return _start(records, each, checkpoint, trigger)
 

@@ -112,6 +112,14 @@ FROM ({_ENVELOPE})""",
 SELECT * FROM (SELECT {_PARTITION} AS partition, event_id AS "offset", {_SPOILT} AS reject FROM events)
 WHERE reject <> 'tombstone'""",
     "accepted_of_faulty": f"{_CHANGE} WHERE value <= 100",
+    "materialize_quarantine": f"""
+SELECT partition, "offset", reject, count(*) OVER (PARTITION BY reject) AS n
+FROM (SELECT {_PARTITION} AS partition, event_id AS "offset", {_SPOILT} AS reject FROM events)
+WHERE reject <> 'tombstone'""",
+    "materialize_counts": f"""
+SELECT kind, count(reject) AS n
+FROM (VALUES ('accepted'), ('no_key'), ('unknown_op'), ('tombstone')) AS k(kind)
+LEFT JOIN (SELECT coalesce({_SPOILT}, 'accepted') AS reject FROM events) ON reject = kind GROUP BY kind""",
     "unwrap_nested": f"""
 SELECT ts AS kafka_timestamp, {_PARTITION} AS partition, event_id * 2 AS "offset", user_id AS id,
        event_type AS name, value, ts AS created_at, {_EVENT_OP} AS "__op", epoch_us(ts) // 1000 AS "__source_ts_ms",

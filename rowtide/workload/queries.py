@@ -31,6 +31,7 @@ from rowtide.session import scratch, utc
 from rowtide.sources.changelog import SentLog, captured, pending, purge_before, with_processed
 from rowtide.sources.polled import Watermark, next_watermark, poll_changes
 from rowtide.sources.raw import RawStore
+from rowtide.sources.rejects import Rejects
 from rowtide.sources.state import StateStore
 from rowtide.sources.topic import Topic
 from rowtide.spec import DELETE, ISO, MICROS, Field, TableSpec
@@ -152,6 +153,34 @@ def accepted_of_faulty(spark, sf_dir):
     return accepted(parse(decode(t.faulty_topic(spark, sf_dir)), t.EVENT_SPEC), t.EVENT_SPEC)
 
 
+def _landed_faults(spark, sf_dir) -> tuple[RawStore, StateStore, Rejects]:
+    """Faulty records in two landings, each applied by a run of its own."""
+    raw = RawStore(spark, scratch(spark, "raw"))
+    state = StateStore(spark, scratch(spark, "state"), t.EVENT_SPEC)
+    rejects = Rejects(spark, scratch(spark, "rejects"))
+    records = t.faulty_topic(spark, sf_dir)
+    early = F.col("timestamp") < t.at(t.EVENTS_CUT)
+    for landing in (records.filter(early), records.filter(~early)):
+        raw.append(decode(landing))
+        jobs.materialize(raw, state, t.EVENT_SPEC, rejects=rejects)
+    return raw, state, rejects
+
+
+@query
+def materialize_quarantine(spark, sf_dir):
+    """What two runs of the job set aside, and the count of its reason in both, by the job's own counters."""
+    _, _, rejects = _landed_faults(spark, sf_dir)
+    kept = rejects.read().select("partition", "offset", "reject")
+    return kept.join(F.broadcast(rejects.counts()), F.col("reject") == F.col("kind")).drop("kind")
+
+
+@query
+def materialize_counts(spark, sf_dir):
+    """Records of each kind that the two runs have counted while they made the state."""
+    _, _, rejects = _landed_faults(spark, sf_dir)
+    return rejects.counts()
+
+
 @query
 def unwrap_nested(spark, sf_dir):
     flat = unwrap(decode(t.nested_topic(spark, sf_dir)), t.EVENT_SPEC)
