@@ -4,10 +4,11 @@ between repeats work but loses none."""
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime
+from datetime import date, datetime
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from rowtide.operators.capture import (
     changelog_messages,
@@ -20,7 +21,7 @@ from rowtide.operators.latest import latest_per_key
 from rowtide.operators.offsets import all_partitions, from_points, starting_offsets_json
 from rowtide.operators.parse import accepted, changes, decode, parse, quarantined, with_order
 from rowtide.session import pinned
-from rowtide.sources.changelog import OLDEST_FIRST, SentLog, captured, in_open_days, pending
+from rowtide.sources.changelog import OLDEST_FIRST, SentLog, captured, day, in_open_days, pending, since
 from rowtide.sources.polled import Watermark, in_utc, next_watermark, poll_changes
 from rowtide.sources.raw import RawStore
 from rowtide.sources.rejects import Rejects, Tally
@@ -142,14 +143,25 @@ def drain(
 ) -> DataFrame:
     """Send waiting changes, oldest first, then mark exactly those as sent. ``tables`` are the
     captured ones; a log of several needs it, as a topic and a spec are of one table. Only days
-    that have waiting changes are compared change by change."""
-    log = changelog if tables is None else captured(changelog, tables)
+    that have waiting changes are compared change by change, and closed days are not read."""
+    log = since(changelog if tables is None else captured(changelog, tables), sent.closed())
     published = publish_changes(pending(*in_open_days(log, sent.read()), limit), topic, spec)
     if not published.isEmpty():
         sent.mark(published)
     return published
 
 
+def close_days(changelog: DataFrame, sent: SentLog, before: date, tables: Iterable[str] | None = None) -> None:
+    """Close the days before ``before``: no change of theirs will be looked for again. They must be drained; and no
+    change may commit that late any more. ``missed`` finds those that do."""
+    log = since(changelog if tables is None else captured(changelog, tables), sent.closed())
+    number = (before - date(1970, 1, 1)).days
+    due = log.filter(day(F.col("changed_at")) < number)
+    if not pending(*in_open_days(due, sent.read())).filter("changed_at IS NOT NULL").isEmpty():
+        raise ValueError(f"changes before {before} are waiting: drain them first")
+    sent.close(number)
+
+
 def poll(
     table: DataFrame,
     watermark: Watermark,

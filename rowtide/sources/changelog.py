@@ -12,19 +12,75 @@ from rowtide.sources.batches import Batches
 OLDEST_FIRST = ["changed_at", "change_id"]
 #: Microseconds of a day.
 DAY = 86_400_000_000
+#: Ids in a bitmap (fixed by Spark's functions).
+BLOCK = 32_768
 
 
 class SentLog:
-    """Ids and days of the changes that have reached the topic; the log itself is never updated."""
+    """Which changes have reached the topic, as bitmaps; the log itself is never updated.
+
+    A bitmap is of one day of changes and of one block of ids, so a change costs a bit where ids are given in order. Each
+    mark adds bitmaps; ``close`` folds those of finished days into one for each block and sets them aside, and from
+    then on neither they nor the days' part of the log are read.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.ids = Batches(spark, path, "change_id long, day long")
+        self.marks = Batches(spark, path, MARKS_SCHEMA)
+        self.folded = Batches(spark, path, MARKS_SCHEMA, "folded")
+        self.closings = Batches(spark, path, "day long", "closed")
+
+    def closed(self) -> int | None:
+        """The first day that is not closed; none if no day is."""
+        last = max(self.closings.numbers(), default=0)
+        return self.closings.read_one(last).first()["day"] if last else None
 
     def read(self) -> DataFrame:
-        return self.ids.read()
+        """The marks of open days."""
+        closed, marks = self.closed(), self.marks.read()
+        return marks if closed is None else marks.filter(F.col("day").isNull() | (F.col("day") >= closed))
+
+    def read_all(self) -> DataFrame:
+        return self.marks.read().unionByName(self.folded.read())
 
     def mark(self, sent: DataFrame) -> int:
-        return self.ids.write(sent.select("change_id", day(F.col("changed_at")).alias("day")))
+        return self.marks.write(marks_of(sent))
+
+    def close(self, before: int) -> None:
+        """Close the days before ``before`` (a day number). Marks may be there twice if this is broken off, which
+        changes nothing, and none is dropped before it is written again."""
+        old = self.marks.numbers()
+        marks = merged(self.marks.read()).sortWithinPartitions("day")
+        self.folded.write(marks.filter(F.col("day") < before))
+        self.closings.write(self.marks.spark.range(1).select(F.lit(before).cast("long").alias("day")))
+        self.marks.write(marks.filter(F.col("day").isNull() | (F.col("day") >= before)))
+        self.marks.drop(old)
+
+
+MARKS_SCHEMA = "day long, block long, bits binary"
+
+
+def marks_of(changes: DataFrame) -> DataFrame:
+    """Bitmaps of the ids of changes, for each day and block of ids. Tasks send bitmaps, not ids."""
+    placed = changes.select(day(F.col("changed_at")).alias("day"), F.col("change_id").cast("long").alias("id"))
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits")
+    return placed.groupBy("day", F.bitmap_bucket_number("id").alias("block")).agg(bits)
+
+
+def merged(marks: DataFrame) -> DataFrame:
+    return marks.groupBy("day", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def marked_ids(marks: DataFrame) -> DataFrame:
+    """``change_id`` and ``day`` of every bit that is set, for ids above 0."""
+    bit = F.col("bit").cast("long")
+    each = merged(marks).select("*", F.explode(F.sequence(F.lit(0), F.lit(BLOCK - 1))).alias("bit"))
+    return each.filter(_is_set(F.col("bits"), bit)).select(((F.col("block") - 1) * BLOCK + bit + 1).alias("change_id"), "day")
+
+
+def _is_set(bits: Column, place: Column) -> Column:
+    """Whether the bit at a place of a bitmap is set; bits count from the low end of each byte."""
+    byte = F.conv(F.hex(F.substring(bits, (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    return F.getbit(byte, (place % 8).cast("int")) == 1
 
 
 def day(at: Column) -> Column:
@@ -33,30 +89,37 @@ def day(at: Column) -> Column:
     return ((micros - F.pmod(micros, F.lit(DAY))) / DAY).cast("long")
 
 
-def _digests(ids: DataFrame, at: Column, name: str) -> DataFrame:
-    """One row per day: how many ids it has, and a hash of the set."""
-    return ids.groupBy(at.alias("day")).agg(F.struct(F.count("*"), F.bit_xor(F.xxhash64(F.col("change_id").cast("long")))).alias(name))
+def _day_start(number: int, changelog: DataFrame) -> Column:
+    return F.timestamp_micros(F.lit(number * DAY)).cast(changelog.schema["changed_at"].dataType)
+
 
+def since(changelog: DataFrame, closed: int | None) -> DataFrame:
+    """The log without closed days; the filter reaches its scan. Changes without a time stay."""
+    at = F.col("changed_at")
+    return changelog if closed is None else changelog.filter(at.isNull() | (at >= _day_start(closed, changelog)))
 
-def in_open_days(changelog: DataFrame, sent: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The log and the sent ids of the days that may have waiting changes.
 
-    A day is finished if the log and the sent ids agree on it; a change that commits late opens its day
-    again, however old. That takes one pass over ids and days, without a shuffle of ids. One row per
+def in_open_days(changelog: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The log and the marks of the days that have waiting changes.
+
+    A day is finished if every waiting change in the log has its bit in the marks; a change that commits late opens its day
+    again, however old, unless the day is closed. That takes one pass over ids and days, which sends bitmaps. One row per
     day comes to the driver, and the filters made of them reach both scans. Changes without a
-    time, and ids marked without a day, are always compared; so are days whose ids were marked twice.
+    time are always compared.
     """
     at = F.col("changed_at")
-    waiting = _digests(changelog.filter(~F.col("processed")), day(at), "log")
-    days = waiting.join(_digests(sent, F.col("day"), "sent"), "day", "left")
-    found = [r["day"] for r in days.filter("day IS NOT NULL AND NOT (log <=> sent)").select("day").collect()]
+    waiting = marks_of(changelog.filter(~F.col("processed"))).withColumn("sent", F.lit(None).cast("binary"))
+    both = waiting.unionByName(marks.withColumn("sent", F.col("bits")))
+    blocks = both.groupBy("day", "block").agg(F.bitmap_or_agg("bits").alias("bits"), F.bitmap_or_agg("sent").alias("sent"))
+    open_ = F.bitmap_count("bits") > F.bitmap_count("sent")
+    found = [r["day"] for r in blocks.filter(F.col("day").isNotNull() & open_).select("day").distinct().collect()]
     if not found:
-        return changelog.filter(at.isNull()), sent.filter("day IS NULL")
-    bounds = [F.timestamp_micros(F.lit(d * DAY)).cast(changelog.schema["changed_at"].dataType) for d in (min(found), max(found) + 1)]
+        return changelog.filter(at.isNull()), marks.filter("day IS NULL")
     # Two filters, as a source takes only the one without a computed day.
+    bounds = [_day_start(x, changelog) for x in (min(found), max(found) + 1)]
     near = changelog.filter(at.isNull() | ((at >= bounds[0]) & (at < bounds[1])))
     near = near.filter(at.isNull() | day(at).isin(found))
-    return near, sent.filter(F.col("day").isNull() | F.col("day").isin(found))
+    return near, marks.filter(F.col("day").isNull() | F.col("day").isin(found))
 
 
 def captured(changelog: DataFrame, tables: Iterable[str]) -> DataFrame:
@@ -64,12 +127,23 @@ def captured(changelog: DataFrame, tables: Iterable[str]) -> DataFrame:
     return changelog.filter(F.col("table_name").isin(*tables))
 
 
+def _with_sent(changelog: DataFrame, sent: DataFrame) -> DataFrame:
+    """The log with ``_sent``; ``sent`` holds marks, or plain ids as ``change_id``."""
+    if "bits" not in sent.columns:
+        done = sent.select("change_id").distinct().withColumn("_done", F.lit(True))
+        joined = changelog.join(done, "change_id", "left")
+        return joined.select(*changelog.columns, F.col("_done").isNotNull().alias("_sent"))
+    marks = merged(sent).select(F.col("day").alias("_day"), F.col("block").alias("_block"), F.col("bits").alias("_bits"))
+    id_ = F.col("change_id").cast("long")
+    same = day(F.col("changed_at")).eqNullSafe(F.col("_day")) & (F.bitmap_bucket_number(id_) == F.col("_block"))
+    bit = F.coalesce(_is_set(F.col("_bits"), F.bitmap_bit_position(id_)), F.lit(False))
+    return changelog.join(marks, same, "left").select(*changelog.columns, bit.alias("_sent"))
+
+
 def with_processed(changelog: DataFrame, sent: DataFrame) -> DataFrame:
-    """Bring the ``processed`` flag up to date with the ids that have been sent."""
-    done = sent.select("change_id").distinct().withColumn("_sent", F.lit(True))
-    return changelog.join(done, "change_id", "left").select(
-        *[c for c in changelog.columns if c != "processed"],
-        (F.col("processed") | F.col("_sent").isNotNull()).alias("processed"),
+    """Bring the ``processed`` flag up to date with what has been sent."""
+    return _with_sent(changelog, sent).select(
+        *[c for c in changelog.columns if c != "processed"], (F.col("processed") | F.col("_sent")).alias("processed")
     )
 
 
@@ -81,10 +155,19 @@ def pending(
     """Changes not sent yet, however old: all of them, or the oldest ``limit``."""
     waiting = changelog.filter(~F.col("processed"))
     if sent is not None:
-        waiting = waiting.join(sent.select("change_id"), "change_id", "left_anti")
+        waiting = _with_sent(waiting, sent).filter("NOT _sent").drop("_sent")
     return waiting if limit is None else waiting.orderBy(*OLDEST_FIRST).limit(limit)
 
 
+def missed(changelog: DataFrame, sent: SentLog) -> DataFrame:
+    """Changes of closed days that were never sent: they committed after their day was closed. A full pass over
+    the closed days, to be asked now and then."""
+    closed = sent.closed()
+    if closed is None:
+        return changelog.limit(0)
+    return pending(changelog.filter(F.col("changed_at") < _day_start(closed, changelog)), sent.read_all())
+
+
 def purge_before(changelog: DataFrame, sent: DataFrame, before: Column) -> DataFrame:
     """The log without changes that were sent and are older than ``before``."""
     flagged = with_processed(changelog, sent)

@@ -28,7 +28,7 @@ from rowtide.operators.offsets import all_partitions, resume_offsets, starting_o
 from rowtide.operators.parse import accepted, changes, decode, parse, quarantined, unwrap, with_order
 from rowtide.plans import jobs
 from rowtide.session import scratch, utc
-from rowtide.sources.changelog import SentLog, captured, pending, purge_before, with_processed
+from rowtide.sources.changelog import SentLog, captured, missed, pending, purge_before, with_processed
 from rowtide.sources.polled import Watermark, next_watermark, poll_changes
 from rowtide.sources.raw import RawStore
 from rowtide.sources.rejects import Rejects
@@ -540,6 +540,19 @@ def drain_late_commit(spark, sf_dir):
     return late.select("change_id", "changed_at")
 
 
+@query
+def drain_closed_days(spark, sf_dir):
+    """What a round sends after the days before the cut were closed, and what it does not read any more."""
+    topic = Topic(spark, scratch(spark, "topic"), "orders", t.TOPIC_PARTITIONS)
+    sent = SentLog(spark, scratch(spark, "sent"))
+    log = t.order_changelog(spark, sf_dir)
+    early = log.filter((F.col("changed_at") < t.at(t.ORDERS_CUT)) & (F.col("change_id") % 2 == 0))
+    jobs.drain(early, sent, topic, t.ORDER_SPEC)
+    jobs.close_days(early, sent, datetime.fromisoformat(t.ORDERS_CUT).date())
+    found = jobs.drain(log, sent, topic, t.ORDER_SPEC).select("change_id", F.lit("sent").alias("fate"))
+    return found.unionByName(missed(log, sent).select("change_id", F.lit("missed").alias("fate")))
+
+
 @query
 def poll_from_initial(spark, sf_dir):
     """The first poll with a mark that names no zone, which is UTC."""

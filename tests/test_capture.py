@@ -1,14 +1,26 @@
 import os
 import re
 import time
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from rowtide.operators import audit
 from rowtide.operators.capture import changelog_envelope, poll_envelope, snapshot_messages
 from rowtide.plans import jobs
-from rowtide.sources.changelog import SentLog, captured, in_open_days, pending, purge_before, with_processed
+from rowtide.sources.changelog import (
+    SentLog,
+    captured,
+    in_open_days,
+    marked_ids,
+    marks_of,
+    missed,
+    pending,
+    purge_before,
+    since,
+    with_processed,
+)
 from rowtide.sources.jdbc import jdbc_options
 from rowtide.sources.polled import Watermark, next_watermark, poll_changes
 from rowtide.sources.topic import Topic
@@ -65,18 +77,18 @@ def test_drain_marks_what_it_sent_and_no_more(spark, tmp_path):
     log = simple(spark, *range(1, 251))
     for total in (100, 200, 250, 250):
         jobs.drain(log, sent, topic, USERS_ISO, limit=100)
-        assert topic.read().count() == sent.read().count() == total
+        assert topic.read().count() == marked_ids(sent.read()).count() == total
     assert rows(audit.backlog(with_processed(log, sent.read()))) == [(True, 250)]
-    assert len(topic.segments.numbers()) == len(sent.ids.numbers()) == 3
+    assert len(topic.segments.numbers()) == len(sent.marks.numbers()) == 3
 
 
 def test_a_lost_mark_repeats_messages_but_loses_none(spark, tmp_path):
     topic, sent = Topic(spark, str(tmp_path / "t"), "users"), SentLog(spark, str(tmp_path / "s"))
     jobs.drain(simple(spark, 1, 2), sent, topic, USERS_ISO)
-    sent.ids.drop(sent.ids.numbers())
+    sent.marks.drop(sent.marks.numbers())
     jobs.drain(simple(spark, 1, 2, 3), sent, topic, USERS_ISO)
     assert topic.read().count() == 5
-    assert rows(sent.read(), "change_id") == [(1,), (2,), (3,)]
+    assert rows(marked_ids(sent.read()), "change_id") == [(1,), (2,), (3,)]
 
 
 def test_only_open_days_are_read(spark, tmp_path):
@@ -85,14 +97,14 @@ def test_only_open_days_are_read(spark, tmp_path):
     log = simple(spark, 1, 2, at="2025-01-01 23:59:59").union(simple(spark, 3, at="2025-01-02 00:00:00"))
     log.write.parquet(path)
     jobs.drain(spark.read.parquet(path), sent, topic, USERS_ISO)
-    assert rows(sent.read()) == [(1, 20089), (2, 20089), (3, 20090)]
+    assert rows(marked_ids(sent.read())) == [(1, 20089), (2, 20089), (3, 20090)]
     none, done = in_open_days(spark.read.parquet(path), sent.read())
     assert none.isEmpty() and done.isEmpty()
     # A late commit opens its day again, and only that.
     simple(spark, 4, at="2025-01-02 12:00:00").write.mode("append").parquet(path)
     log = spark.read.parquet(path)
     near, done = in_open_days(log, sent.read())
-    assert rows(near, "change_id") == [(3,), (4,)] and rows(done, "change_id") == [(3,)]
+    assert rows(near, "change_id") == [(3,), (4,)] and rows(marked_ids(done), "change_id") == [(3,)]
     pushed = re.findall(r"PushedFilters: .*", pushed_filters(pending(near, done)))
     assert any("GreaterThanOrEqual(changed_at,2025-01-02" in x and "LessThan(changed_at,2025-01-03" in x for x in pushed)
     assert any("EqualTo(day,20090)" in x or "In(day, [20090])" in x for x in pushed)
@@ -100,13 +112,43 @@ def test_only_open_days_are_read(spark, tmp_path):
     assert jobs.drain(log, sent, topic, USERS_ISO).isEmpty()
 
 
-def test_days_with_repeated_marks_or_without_a_day_stay_open(spark):
+def test_changes_without_a_time_and_repeated_marks(spark):
     log = simple(spark, 1, 2, 3).union(log_df(spark, (9, "users", "I", 9, None, "{}", "2025-01-01", False)))
     log = log.withColumn("changed_at", F.expr("CASE WHEN change_id < 9 THEN changed_at END"))
-    twice = spark.createDataFrame([(1, 20416), (1, 20416), (2, 20416)], "change_id long, day long")
+    twice = marks_of(log.filter("change_id < 3")).unionByName(marks_of(log.filter("change_id = 1")))
     assert rows(pending(*in_open_days(log, twice)), "change_id") == [(3,), (9,)]
-    undated = spark.createDataFrame([(1, None), (2, None), (9, None)], "change_id long, day long")
-    assert rows(pending(*in_open_days(log, undated)), "change_id") == [(3,)]
+    assert pending(*in_open_days(log, twice.unionByName(marks_of(log)))).isEmpty()
+
+
+def test_ids_far_apart_and_block_borders(spark):
+    ids = [1, 2, 32_768, 32_769, 65_536, 65_537, 10**12, 2**62]
+    log = simple(spark, *ids, 7, 32_770)
+    marks = marks_of(log.filter(F.col("change_id").isin(ids)))
+    assert marks.count() == 5
+    assert rows(marked_ids(marks), "change_id") == sorted([(x,) for x in ids], key=str)
+    assert rows(pending(log, marks), "change_id") == [(32_770,), (7,)]
+    assert rows(with_processed(log, marks).filter("processed"), "change_id") == sorted([(x,) for x in ids], key=str)
+
+
+def test_closed_days_are_not_read(spark, tmp_path):
+    path, sent = str(tmp_path / "log"), SentLog(spark, str(tmp_path / "s"))
+    topic = Topic(spark, str(tmp_path / "t"), "users")
+    log = simple(spark, 1, 2, at="2025-01-01 23:59:59").union(simple(spark, 3, at="2025-01-02 00:00:00"))
+    log.write.parquet(path)
+    with pytest.raises(ValueError, match="drain"):
+        jobs.close_days(spark.read.parquet(path), sent, date(2025, 1, 2))
+    jobs.drain(spark.read.parquet(path), sent, topic, USERS_ISO)
+    jobs.close_days(spark.read.parquet(path), sent, date(2025, 1, 2))
+    assert rows(marked_ids(sent.read())) == [(3, 20090)] and marked_ids(sent.read_all()).count() == 3
+    scanned = " ".join(re.findall(r"PushedFilters: .*", pushed_filters(since(spark.read.parquet(path), sent.closed()))))
+    assert "GreaterThanOrEqual(changed_at,2025-01-02" in scanned
+    assert not any("folded" in x for x in sent.read().inputFiles())
+    # One commits too late, one in time.
+    simple(spark, 4, at="2025-01-01 12:00:00").union(simple(spark, 5, at="2025-01-02 12:00:00")).write.mode("append").parquet(path)
+    log = spark.read.parquet(path)
+    assert rows(jobs.drain(log, sent, topic, USERS_ISO), "change_id") == [(5,)]
+    assert rows(missed(log, sent), "change_id") == [(4,)]
+    assert rows(marked_ids(sent.read_all()), "change_id") == [(1,), (2,), (3,), (5,)]
 
 
 def test_audit(spark):
