@@ -78,7 +78,8 @@ def absorb(rows: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
     """Merge store rows with newer store rows, one per key on each side.
 
     A row replaces another only if its order is not older, so applying the same change again,
-    or a late one, changes nothing, and a late update cannot bring back a deleted key.
+    or a late one, changes nothing, and a late update cannot bring back a deleted key. Both sides have the same
+    columns, which may be more than those of the spec.
     """
     pairs = pair(rows, incoming, spec.key)
     wins = F.col(quoted(CHANGE + spec.key)).isNotNull() & (
@@ -87,20 +88,20 @@ def absorb(rows: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
         | (F.col(CHANGE + ORDER) >= F.col(STATE + ORDER))
     )
     wins = F.coalesce(wins, F.lit(False))
-    columns = [*spec.columns, DELETED, ORDER]
-    return pairs.select(
-        *[_either(wins, c) for c in columns]
-    )
+    return pairs.select(*[_either(wins, c) for c in rows.columns])
 
 
-def merge_into(table: str, changes: DataFrame, spec: TableSpec) -> None:
-    """The same merge on a catalog table whose format supports row-level MERGE."""
+def merge_into(table: str, changes: DataFrame, spec: TableSpec, evolve: bool = False) -> None:
+    """The same merge on a catalog table whose format supports row-level MERGE; with ``evolve`` columns that the
+    table lacks are added to it."""
     source = changes.select(*spec.columns, "__op").alias("inc")
     op = F.col("inc.__op")
     images = {c: F.col(f"inc.{c}") for c in spec.fields}
+    merge = source.mergeInto(table, F.expr(f"{table}.`{spec.key}` = inc.`{spec.key}`"))
+    if evolve:
+        merge = merge.withSchemaEvolution()
     (
-        source.mergeInto(table, F.expr(f"{table}.`{spec.key}` = inc.`{spec.key}`"))
-        .whenMatched(op_in(op, spec.upserts))
+        merge.whenMatched(op_in(op, spec.upserts))
         .update(images)
         .whenMatched(op == DELETE)
         .delete()

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from rowtide.session import delete_path, move, qualified
 
@@ -22,6 +23,7 @@ class Batches:
 
     def __init__(self, spark: SparkSession, path: str, schema: str, prefix: str = "batch"):
         self.spark, self.path, self.schema, self.prefix = spark, qualified(spark, path), schema, prefix
+        self._fields: dict[int, list[StructField]] = {}
 
     def _glob(self, pattern: str) -> list[str]:
         hadoop = self.spark._jvm.org.apache.hadoop.fs
@@ -46,16 +48,23 @@ class Batches:
     def chosen(self, after: int = 0, upto: int | None = None) -> list[int]:
         return [n for n in self.numbers() if n > after and (upto is None or n <= upto)]
 
-    def read(self, after: int = 0, upto: int | None = None) -> DataFrame:
-        """The rows of all complete batches, or of those in a range of numbers."""
+    def read(self, after: int = 0, upto: int | None = None, schema: StructType | None = None) -> DataFrame:
+        """The rows of all complete batches, or of those in a range of numbers, in the store's schema or another one:
+        columns that a batch was written without are NULL, and integers of a narrower type are widened."""
         numbers = self.chosen(after, upto)
         if not numbers:
             # The limit lets the optimizer see that there is nothing, and drop what depends on it.
-            return self.spark.createDataFrame([], self.schema).limit(0)
-        return self.spark.read.schema(self.schema).parquet(*[self.directory(n) for n in numbers])
+            return self.spark.createDataFrame([], schema or self.schema).limit(0)
+        return self.spark.read.schema(schema or self.schema).parquet(*[self.directory(n) for n in numbers])
 
-    def read_one(self, number: int) -> DataFrame:
-        return self.read(after=number - 1, upto=number)
+    def read_one(self, number: int, schema: StructType | None = None) -> DataFrame:
+        return self.read(after=number - 1, upto=number, schema=schema)
+
+    def fields(self, number: int) -> list[StructField]:
+        """The columns a batch was written with, from one of its files; batches do not change, so they are asked once."""
+        if number not in self._fields:
+            self._fields[number] = self.spark.read.parquet(self.directory(number)).schema.fields
+        return self._fields[number]
 
     def read_numbered(self) -> DataFrame:
         """The rows of all complete batches with a ``number`` column."""
@@ -75,6 +84,7 @@ class Batches:
         if beside:
             beside(number)
         move(self.spark, staged, self.directory(number))
+        self._fields[number] = df.schema.fields
         return number
 
     def write_some(self, df: DataFrame) -> int | None:
@@ -107,16 +117,18 @@ class BucketedBatches(Batches):
         super().__init__(spark, path, schema, prefix)
         self.key, self.buckets = key, buckets
 
-    def _table(self, number: int) -> str:
-        return "rowtide_" + hashlib.md5(self.directory(number).encode()).hexdigest()
+    def _table(self, number: int, columns: str = "") -> str:
+        return "rowtide_" + hashlib.md5((self.directory(number) + columns).encode()).hexdigest()
 
-    def read(self, after: int = 0, upto: int | None = None) -> DataFrame:
+    def read(self, after: int = 0, upto: int | None = None, schema: StructType | None = None) -> DataFrame:
         numbers = self.chosen(after, upto)
         if len(numbers) != 1:
-            return super().read(after, upto)
-        table = self._table(numbers[0])
+            return super().read(after, upto, schema)
+        columns = self.schema if schema is None else schema.toDDL()
+        # A table of its own for each set of columns that the batch is read with.
+        table = self._table(numbers[0], columns)
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({self.schema}) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
             f"CLUSTERED BY (`{self.key}`) INTO {self.buckets} BUCKETS LOCATION '{self.directory(numbers[0]).replace("'", "\\'")}'"
         )
         return self.spark.table(table)
@@ -129,6 +141,7 @@ class BucketedBatches(Batches):
         dealt = df.repartition(self.buckets, self.key)
         writer = dealt.write.mode(mode).format("parquet").bucketBy(self.buckets, self.key)
         writer.option("path", self.directory(number)).saveAsTable(self._table(number))
+        self._fields[number] = df.schema.fields
         if beside:
             beside(number)
         return number

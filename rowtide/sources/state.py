@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from rowtide.operators.latest import latest_per_key
 from rowtide.operators.merge import absorb, stored_rows
@@ -25,6 +26,10 @@ class StateStore:
     the keys touched by one run. A run that touches few keys writes only those; readers merge
     them over the last full version, and ``compact`` folds them in. With ``buckets`` full
     versions are bucketed by key, so merging into one shuffles the changes but not the table.
+
+    Specs may gain columns, and integers may get wider: versions keep the columns they were written with, a spec with
+    a new column reads NULL from older versions, and a spec without a column keeps it for rows it does not
+    change, also when it compacts. A change replaces its row whole: columns that its spec lacks become NULL.
     """
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int | None = None):
@@ -52,20 +57,34 @@ class StateStore:
         base = self._base()
         return [n for n in self.deltas.numbers() if n > base]
 
-    def rows(self) -> DataFrame:
-        """Stored rows, deleted ones included."""
+    def schema(self) -> StructType:
+        """Columns of the stored rows: those of the spec, then those that live versions have besides, with the newest
+        version's type, as another spec has written them."""
         base = self._base()
-        newer = self.deltas.read(after=base)
+        live = [(n, self.deltas) for n in self.pending_deltas()] + ([(base, self.fulls)] if base else [])
+        known = self.spark.createDataFrame([], self.spec.stored_schema).schema
+        more = {}
+        for number, kind in sorted(live, key=lambda x: -x[0]):
+            for field in kind.fields(number):
+                if field.name not in known.names:
+                    more.setdefault(field.name, StructField(field.name, field.dataType))
+        return StructType([*known.fields, *more.values()])
+
+    def rows(self) -> DataFrame:
+        """Stored rows, deleted ones included. A row whose version was written without a column has NULL there."""
+        base, schema = self._base(), self.schema()
+        newer = self.deltas.read(after=base, schema=schema)
         if not base:
             return latest_per_key(newer, self.spec.key, STORED_PLACE)
-        full = self.fulls.read_one(base)
+        full = self.fulls.read_one(base, schema)
         if not self.pending_deltas():
             return full
         return absorb(full, latest_per_key(newer, self.spec.key, STORED_PLACE), self.spec)
 
-    def current(self) -> DataFrame:
-        """The state table."""
-        return self.rows().filter(~F.col(DELETED)).select(*self.spec.columns)
+    def current(self, more: bool = False) -> DataFrame:
+        """The state table, in the columns of the spec; with ``more`` also in those that other specs have added."""
+        rows = self.rows().filter(~F.col(DELETED))
+        return rows.drop(DELETED, ORDER) if more else rows.select(*self.spec.columns)
 
     def _places(self, after: int) -> DataFrame:
         stored = self.fulls.read(after=after).unionByName(self.deltas.read(after=after))
@@ -102,6 +121,9 @@ class StateStore:
     ) -> int:
         """Merge many changes at once and write the whole table; ``afresh`` from these alone."""
         incoming = stored_rows(latest, self.spec)
+        if not afresh:
+            added = [x for x in self.schema().fields if x.name not in incoming.columns]
+            incoming = incoming.select("*", *[F.lit(None).cast(x.dataType).alias(x.name) for x in added])
         if self.buckets:
             # Match the table's buckets, or Spark may shuffle the table to match the changes.
             incoming = incoming.repartition(self.buckets, self.spec.key)

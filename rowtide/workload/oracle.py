@@ -120,6 +120,9 @@ WHERE reject <> 'tombstone'""",
 SELECT kind, count(reject) AS n
 FROM (VALUES ('accepted'), ('no_key'), ('unknown_op'), ('tombstone')) AS k(kind)
 LEFT JOIN (SELECT coalesce({_SPOILT}, 'accepted') AS reject FROM events) ON reject = kind GROUP BY kind""",
+    "state_new_column": f"""
+SELECT id, name, CASE WHEN kafka_timestamp >= TIMESTAMP '{EVENTS_CUT}' THEN value END AS value, created_at
+FROM ({_latest(_CHANGE)}) WHERE "__op" <> 'd'""",
     "unwrap_nested": f"""
 SELECT ts AS kafka_timestamp, {_PARTITION} AS partition, event_id * 2 AS "offset", user_id AS id,
        event_type AS name, value, ts AS created_at, {_EVENT_OP} AS "__op", epoch_us(ts) // 1000 AS "__source_ts_ms",

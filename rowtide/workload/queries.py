@@ -181,6 +181,22 @@ def materialize_counts(spark, sf_dir):
     return rejects.counts()
 
 
+@query
+def state_new_column(spark, sf_dir):
+    """A state whose spec gains a column between two landings, and is compacted by a job that does not know it yet."""
+    fields = {name: field for name, field in t.EVENT_SPEC.fields.items() if name != "value"}
+    older = replace(t.EVENT_SPEC, fields=fields)
+    raw, path = RawStore(spark, scratch(spark, "raw")), scratch(spark, "state")
+    records = t.events_topic(spark, sf_dir)
+    early = F.col("timestamp") < t.at(t.EVENTS_CUT)
+    raw.append(decode(records.filter(early)))
+    jobs.materialize(raw, StateStore(spark, path, older), older, "replay")
+    raw.append(decode(records.filter(~early)))
+    jobs.materialize(raw, StateStore(spark, path, t.EVENT_SPEC), t.EVENT_SPEC)
+    StateStore(spark, path, older).compact()
+    return StateStore(spark, path, t.EVENT_SPEC).current()
+
+
 @query
 def unwrap_nested(spark, sf_dir):
     flat = unwrap(decode(t.nested_topic(spark, sf_dir)), t.EVENT_SPEC)
