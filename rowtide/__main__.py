@@ -6,14 +6,16 @@ The captured table is the users table; other tables use the functions in ``rowti
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import date, datetime
 
 from rowtide import session
+from rowtide.operators.compare import reconcile_digest
 from rowtide.plans import jobs
 from rowtide.sources.changelog import SentLog
 from rowtide.sources.jdbc import read_table
 from rowtide.sources.polled import Watermark
 from rowtide.sources.raw import SCHEMA_VERSION, RawStore
+from rowtide.sources.rejects import Rejects
 from rowtide.sources.state import StateStore
 from rowtide.sources.topic import KafkaTopic, Topic
 from rowtide.spec import PLACE, USERS, USERS_ISO
@@ -57,6 +59,8 @@ def _arguments(args: list[str] | None) -> argparse.Namespace:
     materialize.add_argument("--order", choices=sorted(ORDERS), default="time", help="what decides the latest change; offset needs --mode replay")
     materialize.add_argument("--tombstones", choices=["ignore", "delete"], default="ignore")
 
+    materialize.add_argument("--rejects", help="folder for records that cannot be applied, and the counts")
+
     snapshot = job.add_parser("snapshot", help="whole table to topic")
     source(snapshot)
     topic(snapshot)
@@ -68,6 +72,18 @@ def _arguments(args: list[str] | None) -> argparse.Namespace:
     drain.add_argument("--limit", type=int)
     drain.add_argument("--captured", nargs="+", help="tables of the log to send; all by default")
 
+    close = job.add_parser("close", help="set finished days of the change log aside")
+    source(close)
+    close.add_argument("--sent", required=True, help="folder of what was sent")
+    close.add_argument("--before", type=date.fromisoformat, required=True, help="the first day that stays open")
+    close.add_argument("--captured", nargs="+", help="tables of the log; all by default")
+
+    reconcile = job.add_parser("reconcile", help="rows on which a state table differs from its source, to Parquet")
+    source(reconcile)
+    reconcile.add_argument("--state", required=True)
+    reconcile.add_argument("--buckets", type=int)
+    reconcile.add_argument("--out", required=True)
+
     poll = job.add_parser("poll", help="updated rows to topic")
     source(poll)
     topic(poll)
@@ -113,11 +129,18 @@ def main(args: list[str] | None = None) -> None:
     elif a.job == "materialize":
         raw = RawStore(spark, a.raw, a.schema_version)
         state = StateStore(spark, a.state, spec, a.buckets)
-        jobs.materialize(raw, state, spec, a.mode, ORDERS[a.order], tombstones=a.tombstones)
+        rejects = Rejects(spark, a.rejects) if a.rejects else None
+        jobs.materialize(raw, state, spec, a.mode, ORDERS[a.order], rejects, tombstones=a.tombstones)
     elif a.job == "snapshot":
         jobs.snapshot(table(), topic(), spec)
     elif a.job == "drain":
         jobs.drain(table(), SentLog(spark, a.sent), topic(), spec, a.limit, a.captured)
+    elif a.job == "close":
+        jobs.close_days(table(), SentLog(spark, a.sent), a.before, a.captured)
+    elif a.job == "reconcile":
+        state = StateStore(spark, a.state, spec, a.buckets)
+        found = reconcile_digest(table().select(*spec.columns), state.current(), spec.key, state.digests())
+        found.write.parquet(a.out)
     elif a.job == "poll":
         mark = Watermark(spark, a.watermark)
         jobs.poll(table(), mark, topic(), spec, a.overlap, initial_watermark=a.initial_watermark)

@@ -34,3 +34,21 @@ def op_mix(parsed: DataFrame) -> DataFrame:
 def peek(topic: DataFrame, n: int = 10) -> DataFrame:
     """The first ``n`` messages of a topic."""
     return topic.orderBy("partition", "offset").limit(n)
+
+
+def capture_lag(parsed: DataFrame, every: str = "1 hour", delay: str | None = None) -> DataFrame:
+    """How long changes take from their source to the topic, in milliseconds, by windows of the topic's time: ``n``
+    changes, ``p50``, ``p95``, ``p99`` and ``most``. Records without a source time are not counted.
+
+    Percentiles are sketches that tasks send summed up. A stream needs ``delay``, how late records may come.
+    """
+    lag = F.unix_millis("kafka_timestamp") - F.col("__source_ts_ms")
+    rows = parsed.select("kafka_timestamp", lag.alias("lag")).filter("lag IS NOT NULL")
+    if delay:
+        rows = rows.withWatermark("kafka_timestamp", delay)
+    found = rows.groupBy(F.window("kafka_timestamp", every).alias("w")).agg(
+        F.count("*").alias("n"), F.percentile_approx("lag", [0.5, 0.95, 0.99]).alias("p"), F.max("lag").alias("most")
+    )
+    return found.select(
+        F.col("w.start").alias("start"), "n", *[F.col("p")[i].alias(x) for i, x in enumerate(("p50", "p95", "p99"))], "most"
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from rowtide.operators.compare import DIGEST_SCHEMA, digests
 from rowtide.operators.latest import latest_per_key
 from rowtide.operators.merge import absorb, stored_rows
 from rowtide.session import pinned
@@ -40,6 +41,7 @@ class StateStore:
             self.fulls = Batches(spark, path, spec.stored_schema, "full")
         self.deltas = Batches(spark, path, spec.stored_schema, "delta")
         self.points = ResumePoints(spark, path)
+        self.digested = Batches(spark, path, DIGEST_SCHEMA, "digest")
 
     def _next(self) -> int:
         return max(self.fulls.last(), self.deltas.last()) + 1
@@ -86,6 +88,14 @@ class StateStore:
         rows = self.rows().filter(~F.col(DELETED))
         return rows.drop(DELETED, ORDER) if more else rows.select(*self.spec.columns)
 
+    def digests(self) -> DataFrame:
+        """Digests of the table's key ranges, made once for each version and kept beside it: comparing a table with
+        one that has not changed since does not read it."""
+        number = max(self.versions(), default=0)
+        if number not in self.digested.numbers():
+            self.digested.write(digests(self.current(), self.spec.key).coalesce(1), number)
+        return self.digested.read_one(number)
+
     def _places(self, after: int) -> DataFrame:
         stored = self.fulls.read(after=after).unionByName(self.deltas.read(after=after))
         return stored.filter(F.col(ORDER).isNotNull()).select(f"{ORDER}.partition", f"{ORDER}.offset")
@@ -144,3 +154,4 @@ class StateStore:
         self.points.drop([n for n in self.points.kept.numbers() if n < oldest])
         self.fulls.drop([n for n in fulls if n < oldest])
         self.deltas.drop([n for n in self.deltas.numbers() if n < oldest])
+        self.digested.drop([n for n in self.digested.numbers() if n < oldest])

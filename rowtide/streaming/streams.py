@@ -7,9 +7,11 @@ the batch jobs; ``trigger={"processingTime": "2 seconds"}`` keeps polling.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rowtide.operators.parse import decode
+from rowtide.operators.audit import capture_lag
+from rowtide.operators.parse import decode, parse
 from rowtide.plans.jobs import newest_and_rejected, newest_changes, publish_changes
 from rowtide.session import path_exists
 from rowtide.sources.raw import RawStore
@@ -45,13 +47,32 @@ def _start(stream: DataFrame, each, checkpoint: str, trigger: dict | None) -> St
     return writer.trigger(**(trigger or CAUGHT_UP)).start()
 
 
+def each_once(records: DataFrame, within: str) -> DataFrame:
+    """A stream without records that come again, by partition and offset, up to ``within`` after they first came.
+
+    The clock is the time of arrival, not the record's own, so a record can be as old as it likes: none is
+    dropped for being late. What is remembered is bounded by the records that arrive ``within`` that time.
+    """
+    arrived = records.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return arrived.dropDuplicatesWithinWatermark(["partition", "offset"]).drop("_arrived")
+
+
 def stream_land(
-    records: DataFrame, raw: RawStore, checkpoint: str, trigger: dict | None = None
+    records: DataFrame,
+    raw: RawStore,
+    checkpoint: str,
+    trigger: dict | None = None,
+    repeats_within: str | None = None,
 ) -> StreamingQuery:
     """Topic records to the raw store. A retried micro-batch replaces its own directory, so
     records land exactly once. The store must have no other landing job, and a store that has
     records is only continued with the checkpoint it was filled with, as a new one would
-    number its micro-batches from the start and replace them."""
+    number its micro-batches from the start and replace them.
+
+    A source that delivers records twice needs ``repeats_within``, how much later the second may come (``each_once``);
+    records are then shuffled by their place."""
+    if repeats_within:
+        records = each_once(records, repeats_within)
     if raw.records.numbers() and not path_exists(raw.spark, checkpoint):
         raise ValueError(f"{raw.path} has records but {checkpoint} is a new checkpoint")
 
@@ -85,6 +106,16 @@ def stream_apply(
     return _start(records, each, checkpoint, trigger)
 
 
+def stream_lag(
+    records: DataFrame, spec: TableSpec, path: str, checkpoint: str, every: str, delay: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """The capture lag of each window of ``every``, as Parquet at ``path`` once no record of the window is waited for:
+    when records ``delay`` later have come."""
+    found = capture_lag(parse(decode(records), spec), every, delay)
+    writer = found.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return writer.outputMode("append").trigger(**(trigger or CAUGHT_UP)).start()
+
+
 def stream_drain(
     changelog: DataFrame, topic: Topic, spec: TableSpec, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

@@ -199,6 +199,11 @@ SELECT 'orders' AS table_name,
        FALSE AS processed
 FROM {_DIFF} WHERE a.id IS NULL OR b.id IS NULL OR {_CHANGED}""",
     "reconcile_rows": _RECONCILED,
+    "reconcile_digest": _RECONCILED,
+    "capture_lag": """
+SELECT CAST(date_trunc('day', arrived) AS TIMESTAMP) AS start, count(*) AS n, quantile_disc(lag, 0.5) AS p50, quantile_disc(lag, 0.95) AS p95,
+       quantile_disc(lag, 0.99) AS p99, max(lag) AS most
+FROM (SELECT event_id % 51 * 100 AS lag, ts + to_milliseconds(event_id % 51 * 100) AS arrived FROM events) GROUP BY 1""",
     "reconcile_summary": f"SELECT status, count(*) AS n FROM ({_RECONCILED}) GROUP BY 1",
     "op_mix": f"""
 SELECT {_PARTITION} AS partition, {_EVENT_OP} AS "__op", count(*) AS n, min(ts) AS first_at, max(ts) AS last_at
@@ -229,6 +234,7 @@ SELECT id, name, value, created_at FROM (
     SELECT * FROM ({_CHANGE}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY partition DESC, "offset" DESC) = 1)
 WHERE "__op" <> 'd'""",
     "stream_land": _RECORD,
+    "stream_land_repeated": _RECORD,
     "stream_upsert": _EVENT_STATE,
     "stream_drain": f"""
 SELECT id, name, price, created_at, "__op", "__source_ts_ms", "__deleted" FROM ({_ENVELOPE})""",

@@ -22,6 +22,7 @@ from rowtide.operators.capture import (
     with_key,
 )
 from rowtide.operators.compare import diff_snapshots, reconcile, reconcile_counts
+from rowtide.operators.compare import reconcile_digest as by_digest
 from rowtide.operators.latest import latest_per_key
 from rowtide.operators.merge import absorb, apply_changes, merge_actions, stored_rows
 from rowtide.operators.offsets import all_partitions, resume_offsets, starting_offsets_json
@@ -476,6 +477,21 @@ def reconcile_rows(spark, sf_dir):
     return reconcile(source, stale, "id")
 
 
+@query
+def reconcile_digest(spark, sf_dir):
+    """The same rows, by digests of key ranges; the state's are those that its store keeps."""
+    stale, source = _order_states(spark, sf_dir)
+    state = StateStore(spark, scratch(spark, "state"), t.ORDER_SPEC)
+    state.load(stale)
+    return by_digest(source, state.current(), "id", state.digests())
+
+
+@query
+def capture_lag(spark, sf_dir):
+    """By days."""
+    return audit.capture_lag(parse(decode(t.lagged_topic(spark, sf_dir)), t.EVENT_SPEC), "1 day")
+
+
 @query
 def reconcile_summary(spark, sf_dir):
     stale, source = _order_states(spark, sf_dir)
@@ -627,6 +643,20 @@ def stream_land(spark, sf_dir):
     return raw.read().select("partition", "offset", "key", "kafka_timestamp")
 
 
+@query
+def stream_land_repeated(spark, sf_dir):
+    """A source that delivers records again, in the same and in later micro-batches."""
+    topic = Topic(spark, scratch(spark, "topic"), "events", t.TOPIC_PARTITIONS)
+    records = t.events_topic(spark, sf_dir)
+    early = records.filter(F.col("timestamp") < t.at(t.EVENTS_CUT))
+    topic.append(early.unionAll(early.filter("offset % 3 = 0")))
+    topic.append(records)
+    raw = RawStore(spark, scratch(spark, "raw"))
+    stream = streams.read_topic_stream(topic, files_per_batch=1)
+    streams.stream_land(stream, raw, scratch(spark, "land"), repeats_within="1 hour").awaitTermination()
+    return raw.read().select("partition", "offset", "key", "kafka_timestamp")
+
+
 @query
 def stream_upsert(spark, sf_dir):
     """Two micro-batches applied to the state."""

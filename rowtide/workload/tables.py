@@ -163,6 +163,14 @@ def nested_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_topic(rows.withColumn("offset", F.col("offset") * 2 + F.col("_n")), F.col("_value"))
 
 
+def lagged_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events topic with the time of each change at its source; records reach the topic up to 5 s after it."""
+    rows = event_rows(spark, sf_dir).withColumn("source_ms", F.unix_millis("kafka_timestamp"))
+    late = F.make_dt_interval(secs=(F.pmod("offset", F.lit(51)) / 10).cast("decimal(18,6)"))
+    message = json_object({"id": F.col("id"), "__op": F.col("__op"), "__source_ts_ms": F.col("source_ms")})
+    return as_topic(rows.withColumn("kafka_timestamp", F.col("kafka_timestamp") + late), message)
+
+
 # -- orders as a change log ---------------------------------------------------------------
 
 
