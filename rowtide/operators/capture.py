@@ -104,15 +104,39 @@ def changelog_messages(changelog: DataFrame, spec: TableSpec, *keep: str) -> Dat
     return render_envelope(envelope, spec, "changed_at", "change_id", "changed_at", *keep)
 
 
-def poll_messages(polled: DataFrame, spec: TableSpec, updated: str, *keep: str) -> DataFrame:
-    envelope = poll_envelope(polled, spec, updated, *keep)
+def poll_messages(
+    polled: DataFrame, spec: TableSpec, updated: str, *keep: str, deleted: str | None = None
+) -> DataFrame:
+    envelope = poll_envelope(polled, spec, updated, *keep, deleted=deleted)
     return render_envelope(envelope, spec, updated, spec.key, updated, *keep)
 
 
-def poll_envelope(polled: DataFrame, spec: TableSpec, updated: str = "updated_at", *keep: str) -> DataFrame:
+def gone_messages(gone: DataFrame, spec: TableSpec, at: Column, *keep: str) -> DataFrame:
+    """Delete messages for keys whose rows are no more; there is no image left to send."""
+    fields = [F.lit(None).cast("string").alias(name) for name in spec.fields]
+    envelope = gone.select(
+        *keep,
+        F.col(spec.key),
+        *fields,
+        F.lit(DELETE).alias("__op"),
+        F.unix_millis(at).alias("__source_ts_ms"),
+        deleted_flag(F.lit(DELETE)).alias("__deleted"),
+        at.alias("_at"),
+    )
+    return render_envelope(envelope, spec, "_at", spec.key, *keep)
+
+
+def poll_envelope(
+    polled: DataFrame, spec: TableSpec, updated: str = "updated_at", *keep: str, deleted: str | None = None
+) -> DataFrame:
     """Polled rows as typed envelope columns. The operation is inferred from the stamps, times
-    travel as the spec says, and the creation stamp falls back to the update stamp."""
+    travel as the spec says, and the creation stamp falls back to the update stamp. ``deleted`` names a column that
+    marks deleted rows: a flag, or the time of deletion."""
     op = infer_op(F.col(spec.stamp), F.col(updated))
+    if deleted:
+        mark = F.col(deleted)
+        gone = mark if polled.schema[deleted].dataType.simpleString() == "boolean" else mark.isNotNull()
+        op = F.when(gone, DELETE).otherwise(op)
     fields = _table_fields(spec, spec.time_format, stamp_default=updated)
     return polled.select(
         *keep,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rowtide.operators.capture import (
     changelog_messages,
+    gone_messages,
     needed_image,
     poll_messages,
     snapshot_messages,
@@ -21,6 +22,7 @@ from rowtide.operators.latest import latest_per_key
 from rowtide.operators.offsets import all_partitions, from_points, starting_offsets_json
 from rowtide.operators.parse import accepted, changes, decode, parse, quarantined, with_order
 from rowtide.session import pinned
+from rowtide.sources.batches import evened
 from rowtide.sources.changelog import OLDEST_FIRST, SentLog, captured, day, in_open_days, pending, since
 from rowtide.sources.polled import Watermark, in_utc, next_watermark, poll_changes
 from rowtide.sources.raw import RawStore
@@ -30,14 +32,17 @@ from rowtide.sources.topic import KafkaTopic, Topic, read_kafka
 from rowtide.spec import PLACE, TableSpec
 
 
-def land(records: DataFrame, raw: RawStore, files: int | None = None) -> int | None:
+def land(records: DataFrame, raw: RawStore, files: int | None = None, even: bool = False) -> int | None:
     """Topic records to the raw store, from where the last landing ended. Nothing is shuffled, and the
-    topic is read once. A landing has a file for each input partition, or at most ``files``."""
+    topic is read once. A landing has a file for each input partition, or at most ``files``. With ``even`` records
+    are shuffled to files of about the advised partition size, whatever the topic's partitions hold."""
     start = pinned(raw.next_offsets())
-    return raw.append_some(_sized(decode(from_points(records, start)), files), start)
+    return raw.append_some(_sized(decode(from_points(records, start)), files, even), start)
 
 
-def _sized(rows: DataFrame, files: int | None) -> DataFrame:
+def _sized(rows: DataFrame, files: int | None, even: bool = False) -> DataFrame:
+    if even:
+        return evened(rows)
     return rows if files is None else rows.coalesce(files)
 
 
@@ -53,11 +58,16 @@ def kafka_start(raw: RawStore, topic: str, partitions: int | None) -> str:
 
 
 def land_kafka(
-    raw: RawStore, servers: str, topic: str, partitions: int | None = None, files: int | None = None
+    raw: RawStore,
+    servers: str,
+    topic: str,
+    partitions: int | None = None,
+    files: int | None = None,
+    even: bool = False,
 ) -> int | None:
     """The same from a Kafka topic; needs Spark's Kafka connector."""
     start = kafka_start(raw, topic, partitions)
-    return raw.append_some(_sized(decode(read_kafka(raw.spark, servers, topic, start)), files))
+    return raw.append_some(_sized(decode(read_kafka(raw.spark, servers, topic, start)), files, even))
 
 
 def newest_changes(
@@ -170,16 +180,36 @@ def poll(
     overlap: str | None = None,
     updated: str = "updated_at",
     initial_watermark: datetime | None = None,
+    deleted: str | None = None,
 ) -> DataFrame:
     """Send the rows updated since the last poll, then save the new watermark. The first poll
-    reads the whole table, or what was updated after ``initial_watermark``."""
+    reads the whole table, or what was updated after ``initial_watermark``. Rows marked in the column ``deleted``, if
+    the table has one, are sent as deletes; marking a row has to stamp its update."""
     last = watermark.get() or initial_watermark
     last = None if last is None else in_utc(last)
     rows = with_key(poll_changes(table, last, overlap, updated), spec.key, spec)
     published = topic.publish(
-        rows, [updated, spec.key], lambda placed, *keep: poll_messages(placed, spec, updated, *keep), False
+        rows,
+        [updated, spec.key],
+        lambda placed, *keep: poll_messages(placed, spec, updated, *keep, deleted=deleted),
+        False,
     )
     newest = pinned(next_watermark(published, last, updated))  # one row
     if not published.isEmpty() and not newest.filter("last_polled IS NOT NULL").isEmpty():
         watermark.save(newest)
     return published
+
+
+def poll_deletes(
+    table: DataFrame, state: StateStore, topic: Topic | KafkaTopic, spec: TableSpec, at: Column | None = None
+) -> DataFrame:
+    """Send a delete for every key of the state that the polled table no longer has; a poll cannot see these.
+
+    Only keys are read, of the table as of the state, and a bucketed state is not shuffled. ``at`` is the time the keys
+    were read (now, by default): a row that comes back later has a later stamp and wins. Sending a delete again
+    before the last one has been applied changes nothing.
+    """
+    gone = state.current().select(spec.key).join(table.select(spec.key), spec.key, "left_anti")
+    at = F.current_timestamp() if at is None else at
+    rows = with_key(gone, spec.key, spec)
+    return topic.publish(rows, [spec.key], lambda placed, *keep: gone_messages(placed, spec, at, *keep), False)

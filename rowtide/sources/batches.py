@@ -12,6 +12,12 @@ from pyspark.sql.types import StructField, StructType
 from rowtide.session import delete_path, move, qualified
 
 
+def evened(rows: DataFrame) -> DataFrame:
+    """Rows to be written in files of about the advised size: adaptive execution splits what is large and
+    joins what is small, by the sizes of a shuffle (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)."""
+    return rows.hint("rebalance")
+
+
 class Batches:
     """Tables written as ``<path>/<prefix>=<number>``, one directory per write.
 

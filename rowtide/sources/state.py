@@ -12,7 +12,7 @@ from rowtide.operators.compare import DIGEST_SCHEMA, digests
 from rowtide.operators.latest import latest_per_key
 from rowtide.operators.merge import absorb, stored_rows
 from rowtide.session import pinned
-from rowtide.sources.batches import Batches, BucketedBatches
+from rowtide.sources.batches import Batches, BucketedBatches, evened
 from rowtide.sources.points import ResumePoints
 from rowtide.spec import DELETED, ORDER, ORDER_TYPE, STORED_PLACE, TableSpec
 
@@ -26,15 +26,18 @@ class StateStore:
     ``full=N`` directories hold the whole table, ``delta=N`` directories the latest change of
     the keys touched by one run. A run that touches few keys writes only those; readers merge
     them over the last full version, and ``compact`` folds them in. With ``buckets`` full
-    versions are bucketed by key, so merging into one shuffles the changes but not the table.
+    versions are bucketed by key, so merging into one shuffles the changes but not the table. With ``even`` versions
+    that are not bucketed have files of about the advised partition size.
 
     Specs may gain columns, and integers may get wider: versions keep the columns they were written with, a spec with
     a new column reads NULL from older versions, and a spec without a column keeps it for rows it does not
     change, also when it compacts. A change replaces its row whole: columns that its spec lacks become NULL.
     """
 
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int | None = None):
-        self.spark, self.spec, self.buckets = spark, spec, buckets
+    def __init__(
+        self, spark: SparkSession, path: str, spec: TableSpec, buckets: int | None = None, even: bool = False
+    ):
+        self.spark, self.spec, self.buckets, self.even = spark, spec, buckets, even
         if buckets:
             self.fulls = BucketedBatches(spark, path, spec.stored_schema, "full", spec.key, buckets)
         else:
@@ -109,6 +112,8 @@ class StateStore:
         return self.points.get(self.versions(), self._places, before)
 
     def _commit(self, kind: Batches, rows: DataFrame, points: DataFrame | None, beside: Beside = None) -> int:
+        if self.even and not isinstance(kind, BucketedBatches):
+            rows = evened(rows)
         number = kind.write(rows, self._next(), beside)
         self.points.save(self.applied_offsets(before=number) if points is None else points, number)
         return number

@@ -221,9 +221,12 @@ QUALIFY row_number() OVER (PARTITION BY id ORDER BY changed_at DESC, change_id D
 SELECT '{"id":' || o_custkey || '}' AS key, count(*) AS n
 FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('1', '2') GROUP BY 1""",
     "drain_late_commit": f"SELECT o_orderkey AS change_id, o_orderdate AS changed_at FROM orders WHERE {_SENT}",
+    "poll_deletes": f"""
+SELECT p.id, p.name, p.price, p.created_at FROM ({_POLLED}) AS p JOIN orders ON o_orderkey = p.id
+WHERE o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW')""",
     "drain_closed_days": f"""
 SELECT o_orderkey AS change_id, CASE WHEN {_SENT} THEN 'missed' ELSE 'sent' END AS fate
-FROM orders WHERE NOT ({_SENT}) OR o_orderkey % 2 <> 0""",
+FROM orders WHERE NOT ({_SENT}) OR o_orderpriority = '5-LOW'""",
     "poll_from_initial": f"SELECT * FROM ({_POLLED}) WHERE updated_at > TIMESTAMP '{ORDERS_CUT}'",
     "poll_iso": """
 SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'F' THEN o_orderdate

@@ -552,6 +552,24 @@ def polling_capture(spark, sf_dir):
     return state.current()
 
 
+@query
+def poll_deletes(spark, sf_dir):
+    """Two polls; in between, rows of one priority are marked as deleted, and those of another are gone."""
+    topic = Topic(spark, scratch(spark, "topic"), "orders", t.TOPIC_PARTITIONS)
+    mark = Watermark(spark, scratch(spark, "watermark"))
+    raw = RawStore(spark, scratch(spark, "raw"))
+    state = StateStore(spark, scratch(spark, "state"), t.POLL_SPEC)
+    jobs.poll(t.polled_orders(spark, sf_dir, t.ORDERS_CUT), mark, topic, t.POLL_SPEC)
+    jobs.land(topic.read(), raw)
+    jobs.materialize(raw, state, t.POLL_SPEC)
+    left = t.thinned_orders(spark, sf_dir)
+    jobs.poll(left, mark, topic, t.POLL_SPEC, deleted="deleted_at")
+    jobs.poll_deletes(left, state, topic, t.POLL_SPEC, t.at(t.THINNED_AT))
+    jobs.land(topic.read(), raw)
+    jobs.materialize(raw, state, t.POLL_SPEC)
+    return state.current()
+
+
 @query
 def drain_captured(spark, sf_dir):
     """A log of several tables: only the captured ones reach the topic."""
@@ -574,11 +592,12 @@ def drain_late_commit(spark, sf_dir):
 
 @query
 def drain_closed_days(spark, sf_dir):
-    """What a round sends after the days before the cut were closed, and what it does not read any more."""
+    """What a round sends after the days before the cut were closed, and what it does not read any more: the changes
+    of one table that were committed after that."""
     topic = Topic(spark, scratch(spark, "topic"), "orders", t.TOPIC_PARTITIONS)
     sent = SentLog(spark, scratch(spark, "sent"))
     log = t.order_changelog(spark, sf_dir)
-    early = log.filter((F.col("changed_at") < t.at(t.ORDERS_CUT)) & (F.col("change_id") % 2 == 0))
+    early = log.filter((F.col("changed_at") < t.at(t.ORDERS_CUT)) & (F.col("table_name") != "orders_5"))
     jobs.drain(early, sent, topic, t.ORDER_SPEC)
     jobs.close_days(early, sent, datetime.fromisoformat(t.ORDERS_CUT).date())
     found = jobs.drain(log, sent, topic, t.ORDER_SPEC).select("change_id", F.lit("sent").alias("fate"))

@@ -49,6 +49,7 @@ POLL_SPEC = TableSpec(
 TOPIC_PARTITIONS = 4
 EVENTS_CUT = "2024-01-16 00:00:00"  # between the two landings
 ORDERS_CUT = "2000-12-01 00:00:00"  # between the state and the changes applied to it
+THINNED_AT = "2010-01-01 00:00:00"  # when orders are marked as deleted, and others removed
 FULFILMENT_DAYS = 400  # from creation to the update of a fulfilled order
 
 
@@ -237,6 +238,16 @@ def polled_orders(spark: SparkSession, sf_dir: str, now: str | None = None) -> D
     )
 
 
+def thinned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The polled table after orders without a priority were marked as deleted and those of low priority removed."""
+    priority = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_orderpriority")
+    rows = polled_orders(spark, sf_dir).join(priority.filter("o_orderpriority <> '5-LOW'"), "id")
+    marked = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", at(THINNED_AT))
+    return rows.select(
+        "id", "name", "price", "created_at", F.coalesce(marked, "updated_at").alias("updated_at"), marked.alias("deleted_at")
+    )
+
+
 def stamped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders whose update stamp lies less than, exactly, or an unknown time after creation."""
     status, created = F.col("o_orderstatus"), F.col("o_orderdate").cast("timestamp")
