@@ -14,7 +14,8 @@ from rowtide.session import delete_path, move, qualified
 
 def evened(rows: DataFrame) -> DataFrame:
     """Rows to be written in files of about the advised size: adaptive execution splits what is large and
-    joins what is small, by the sizes of a shuffle (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)."""
+    joins what is small, by the sizes of a shuffle (``spark.sql.adaptive.advisoryPartitionSizeInBytes``). It cuts
+    between the outputs of the tasks that read, so a file is never less than what one of these sends to it."""
     return rows.hint("rebalance")
 
 

@@ -76,9 +76,9 @@ def sizes(path):
 
 
 def test_even_files(spark, tmp_path):
-    """One partition with nearly all rows, and many with next to none."""
+    """Few partitions with nearly all rows, and many with next to none."""
     message = F.sha2(F.col("id").cast("string"), 512)
-    big = spark.range(0, 20_000, 1, 1).select(F.lit(0).alias("partition"), F.col("id").alias("offset"), message.alias("v"))
+    big = spark.range(0, 20_000, 1, 8).select(F.lit(0).alias("partition"), F.col("id").alias("offset"), message.alias("v"))
     small = spark.range(0, 40, 1, 40).select(F.lit(1).alias("partition"), F.col("id").alias("offset"), message.alias("v"))
     records = big.unionAll(small).select(
         F.lit(None).cast("binary").alias("key"), F.col("v").cast("binary").alias("value"), F.lit("t").alias("topic"),
