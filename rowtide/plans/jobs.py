@@ -3,8 +3,9 @@ between repeats work but loses none."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from datetime import date, datetime
+import time
+from collections.abc import Callable, Iterable
+from datetime import UTC, date, datetime, timedelta
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
@@ -21,9 +22,10 @@ from rowtide.operators.capture import (
 from rowtide.operators.latest import latest_per_key
 from rowtide.operators.offsets import all_partitions, from_points, starting_offsets_json
 from rowtide.operators.parse import accepted, changes, decode, parse, quarantined, with_order
-from rowtide.session import pinned
+from rowtide.session import delete_path, pinned, scratch
 from rowtide.sources.batches import evened
 from rowtide.sources.changelog import OLDEST_FIRST, SentLog, captured, day, in_open_days, pending, since
+from rowtide.sources.chunks import ChunkProgress, in_range, key_ranges
 from rowtide.sources.polled import Watermark, in_utc, next_watermark, poll_changes
 from rowtide.sources.raw import RawStore
 from rowtide.sources.rejects import Rejects, Tally
@@ -154,17 +156,92 @@ def drain(
     """Send waiting changes, oldest first, then mark exactly those as sent. ``tables`` are the
     captured ones; a log of several needs it, as a topic and a spec are of one table. Only days
     that have waiting changes are compared change by change, and closed days are not read."""
-    log = since(changelog if tables is None else captured(changelog, tables), sent.closed())
+    log = _open_log(changelog, sent, tables)
     published = publish_changes(pending(*in_open_days(log, sent.read()), limit), topic, spec)
     if not published.isEmpty():
         sent.mark(published)
     return published
 
 
+def drain_loop(
+    changelog: Callable[[], DataFrame],
+    sent: SentLog,
+    topic: Topic | KafkaTopic,
+    spec: TableSpec,
+    limit: int = 100,
+    tables: Iterable[str] | None = None,
+    busy: float = 0.5,
+    idle: float = 2.0,
+    go_on: Callable[[], bool] = lambda: True,
+    pause: Callable[[float], None] = time.sleep,
+) -> None:
+    """Drain in rounds of at most ``limit`` changes for as long as ``go_on`` says. After a round that sent something the
+    next follows in ``busy`` seconds, after one that found nothing in ``idle`` seconds. ``changelog`` is called in each
+    round, as a table of files is listed when it is opened. A round that fails ends the loop; what it had not marked as sent
+    is sent by the next loop."""
+    while go_on():
+        found = drain(changelog(), sent, topic, spec, limit, tables)
+        pause(idle if found.isEmpty() else busy)
+
+
+def snapshot_chunks(
+    table: Callable[[], DataFrame],
+    changelog: Callable[[], DataFrame],
+    progress: ChunkProgress,
+    sent: SentLog,
+    topic: Topic | KafkaTopic,
+    spec: TableSpec,
+    chunks: int = 16,
+    late: timedelta = timedelta(minutes=5),
+    most: int | None = None,
+    tables: Iterable[str] | None = None,
+) -> int:
+    """Send a table in ranges of keys while it changes and its changes are sent. Returns how many ranges are left.
+
+    For each range: what waits in the change log is sent (the low mark), the range is read and written, and then the log is
+    asked again (the high mark). Rows with a change that was not sent by the low mark may be older or newer than it, so
+    they are left out: the change wins, and the next drain sends it with its own row image. The other rows hold no change
+    beyond those sent, and are sent as of the newest change at the low mark, less ``late``: the longest time by which a
+    change may commit after its ``changed_at``. So a change that commits later wins over them, however late its drain.
+
+    The marks are sets of changes, not times, so a change that commits late between them is seen. Progress is saved after
+    each range. A snapshot that was broken off goes on with the ranges that are left; a range that is sent again
+    has new marks. ``most`` bounds the ranges of one call. Run no other drain of the same log meanwhile. ``table`` and
+    ``changelog`` open them anew, as they are at that time. Rows without a key are not sent.
+    """
+    waiting = progress.waiting(lambda: key_ranges(table(), spec.key, chunks))
+    now = waiting if most is None else waiting[:most]
+    for chunk in now:
+        low = _open_log(changelog(), sent, tables)
+        drain(low, sent, topic, spec)
+        as_of = _newest(low, sent) - late
+        read = in_range(table(), spec.key, chunk).select(*spec.columns)
+        path = scratch(topic.spark, "chunk")
+        read.write.parquet(path)
+        rows = topic.spark.read.schema(read.schema).parquet(path)
+        high = pending(*in_open_days(_open_log(changelog(), sent, tables), sent.read()))
+        changed = high.select(F.col("record_id").alias(spec.key)).distinct()
+        snapshot(rows.join(changed, spec.key, "left_anti"), topic, spec, F.lit(as_of))
+        progress.finish(chunk, as_of)
+        delete_path(topic.spark, path)
+    return len(waiting) - len(now)
+
+
+def _open_log(changelog: DataFrame, sent: SentLog, tables: Iterable[str] | None) -> DataFrame:
+    return since(changelog if tables is None else captured(changelog, tables), sent.closed())
+
+
+def _newest(log: DataFrame, sent: SentLog) -> datetime:
+    """The newest time in the open days of a log; without one the end of the closed days, or 1970."""
+    micros = log.agg(F.max(F.unix_micros(F.col("changed_at").cast("timestamp"))).alias("newest")).first()["newest"]
+    start = datetime(1970, 1, 1, tzinfo=UTC)
+    return start + (timedelta(days=sent.closed() or 0) if micros is None else timedelta(microseconds=micros))
+
+
 def close_days(changelog: DataFrame, sent: SentLog, before: date, tables: Iterable[str] | None = None) -> None:
     """Close the days before ``before``: no change of theirs will be looked for again. They must be drained; and no
     change may commit that late any more. ``missed`` finds those that do."""
-    log = since(changelog if tables is None else captured(changelog, tables), sent.closed())
+    log = _open_log(changelog, sent, tables)
     number = (before - date(1970, 1, 1)).days
     due = log.filter(day(F.col("changed_at")) < number)
     if not pending(*in_open_days(due, sent.read())).filter("changed_at IS NOT NULL").isEmpty():

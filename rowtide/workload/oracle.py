@@ -221,6 +221,9 @@ QUALIFY row_number() OVER (PARTITION BY id ORDER BY changed_at DESC, change_id D
 SELECT '{"id":' || o_custkey || '}' AS key, count(*) AS n
 FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('1', '2') GROUP BY 1""",
     "drain_late_commit": f"SELECT o_orderkey AS change_id, o_orderdate AS changed_at FROM orders WHERE {_SENT}",
+    "snapshot_chunks": f"""
+SELECT p.id, p.name, p.price, p.created_at FROM ({_POLLED}) AS p JOIN orders ON o_orderkey = p.id
+WHERE o_orderstatus <> 'P'""",
     "poll_deletes": f"""
 SELECT p.id, p.name, p.price, p.created_at FROM ({_POLLED}) AS p JOIN orders ON o_orderkey = p.id
 WHERE o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW')""",

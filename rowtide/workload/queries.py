@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ from rowtide.operators.parse import accepted, changes, decode, parse, quarantine
 from rowtide.plans import jobs
 from rowtide.session import scratch, utc
 from rowtide.sources.changelog import SentLog, captured, missed, pending, purge_before, with_processed
+from rowtide.sources.chunks import ChunkProgress
 from rowtide.sources.polled import Watermark, next_watermark, poll_changes
 from rowtide.sources.raw import RawStore
 from rowtide.sources.rejects import Rejects
@@ -570,6 +571,35 @@ def poll_deletes(spark, sf_dir):
     return state.current()
 
 
+@query
+def snapshot_chunks(spark, sf_dir):
+    """A table sent in four ranges of keys, in two calls, while it changes: time goes on with every look at it or at its
+    log. What changed since is drained after that."""
+    topic = Topic(spark, scratch(spark, "topic"), "orders", t.TOPIC_PARTITIONS)
+    sent, raw = SentLog(spark, scratch(spark, "sent")), RawStore(spark, scratch(spark, "raw"))
+    state = StateStore(spark, scratch(spark, "state"), t.POLL_SPEC)
+    progress = scratch(spark, "progress")
+    now = iter(t.LOOKS)
+    for most in (2, None):
+        jobs.snapshot_chunks(
+            lambda: t.booked_orders(spark, sf_dir, next(now)),
+            lambda: t.booked_changelog(spark, sf_dir, next(now)),
+            ChunkProgress(spark, progress),
+            sent,
+            topic,
+            t.POLL_SPEC,
+            chunks=4,
+            late=timedelta(0),
+            most=most,
+        )
+        jobs.land(topic.read(), raw)
+        jobs.materialize(raw, state, t.POLL_SPEC)
+    jobs.drain(t.booked_changelog(spark, sf_dir), sent, topic, t.POLL_SPEC)
+    jobs.land(topic.read(), raw)
+    jobs.materialize(raw, state, t.POLL_SPEC)
+    return state.current()
+
+
 @query
 def drain_captured(spark, sf_dir):
     """A log of several tables: only the captured ones reach the topic."""

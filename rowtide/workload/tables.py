@@ -51,6 +51,10 @@ EVENTS_CUT = "2024-01-16 00:00:00"  # between the two landings
 ORDERS_CUT = "2000-12-01 00:00:00"  # between the state and the changes applied to it
 THINNED_AT = "2010-01-01 00:00:00"  # when orders are marked as deleted, and others removed
 FULFILMENT_DAYS = 400  # from creation to the update of a fulfilled order
+WITHDRAWAL_DAYS = 300  # from creation to the removal of an order in process
+LOGGED_FROM = "1997-07-01 00:00:00"  # the log of booked orders holds later changes only
+# When a snapshot in four ranges looks at the table or its log: the starts of quarters.
+LOOKS = [f"{1998 + n // 4}-{n % 4 * 3 + 1:02d}-01 00:00:00" for n in range(13)]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -248,6 +252,47 @@ def thinned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def booked_orders(spark: SparkSession, sf_dir: str, now: str | None = None) -> DataFrame:
+    """The polled table without the orders that are withdrawn by ``now`` (by default all of them): those in process,
+    some days after their date."""
+    status = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_orderstatus")
+    rows = polled_orders(spark, sf_dir, now).join(status, "id")
+    gone = F.col("o_orderstatus") == "P"
+    if now is not None:
+        gone = gone & (F.col("created_at") + F.make_dt_interval(F.lit(WITHDRAWAL_DAYS)) <= at(now))
+    return rows.filter(~gone).select("id", "name", "price", "created_at")
+
+
+def booked_changelog(spark: SparkSession, sf_dir: str, now: str | None = None) -> DataFrame:
+    """The change log of that table as it stands at ``now``: each order's entry, its fulfilment, its withdrawal, as
+    far as they came after capture began."""
+    created, status = F.col("o_orderdate").cast("timestamp"), F.col("o_orderstatus")
+    image = [F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"), to_iso(created).alias("created_at")]
+    before, after = (F.to_json(F.struct(F.lit(name).alias("name"), *image)) for name in ("open", "fulfilled"))
+    none = F.lit(None).cast("string")
+    steps = [("I", status.isNotNull(), none, before, 0), ("U", status == "F", before, after, FULFILMENT_DAYS)]
+    steps += [("D", status == "P", before, none, WITHDRAWAL_DAYS)]
+    each = [
+        F.when(
+            happens,
+            F.struct(
+                (F.col("o_orderkey") * len(steps) + n).alias("change_id"),
+                F.lit("orders").alias("table_name"),
+                F.lit(operation).alias("operation"),
+                F.col("o_orderkey").alias("record_id"),
+                old.alias("old_data"),
+                new.alias("new_data"),
+                (created + F.make_dt_interval(F.lit(days))).alias("changed_at"),
+                F.lit(False).alias("processed"),
+            ),
+        )
+        for n, (operation, happens, old, new, days) in enumerate(steps)
+    ]
+    log = read(spark, sf_dir, "orders").select(F.inline(F.array_compact(F.array(*each))))
+    log = log.filter(F.col("changed_at") > at(LOGGED_FROM))
+    return log if now is None else log.filter(F.col("changed_at") <= at(now))
+
+
 def stamped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders whose update stamp lies less than, exactly, or an unknown time after creation."""
     status, created = F.col("o_orderstatus"), F.col("o_orderdate").cast("timestamp")
