@@ -23,8 +23,10 @@ ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
 #: About so many rows of a language are learned from, chosen by a hash of doc_id; all, if it has fewer.
 FIT_ROWS = 20_000
-#: Most cells of the matrix that is sent to the tasks: 256 MB.
+#: Most cells of the matrix that is sent to the tasks: 256 MB. More than 512 languages have fewer buckets each.
 MOST_CELLS = 1 << 25
+#: Languages that are learned: those with the most rows, if ``lang`` has more values than this.
+MOST_LANGUAGES = 1 << 15
 UNKNOWN = "und"
 
 
@@ -101,33 +103,36 @@ class Model:
 
 
 def fit(rows: DataFrame, buckets: int = BUCKETS, fit_rows: int = FIT_ROWS, smoothing: float = 0.5) -> Model:
-    """Learn from the columns ``doc_id``, ``text`` and ``lang``; rows without text or language teach nothing."""
+    """Learn from the columns ``doc_id``, ``text`` and ``lang``; rows without text or language teach nothing.
+
+    The matrix stays within ``MOST_CELLS`` at any number of languages, as the buckets get fewer. Of more than
+    ``MOST_LANGUAGES`` values those with the most rows are learned, of equal ones the first by name.
+    """
     spark = rows.sparkSession
     rows = rows.filter("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
-    counts = {x["lang"]: x["n"] for x in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counted = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    counts = {x["lang"]: x["n"] for x in counted.collect()}
     languages = sorted(counts)
-    if len(languages) * buckets > MOST_CELLS:
-        raise ValueError(f"lang has {len(languages)} values, too many for {buckets} buckets")
     if not languages:
         return Model([], np.zeros(0), np.zeros((0, buckets + 1)), buckets)
-    sent = spark.sparkContext.broadcast({x: n for n, x in enumerate(languages)})
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, fit_rows / n))])[F.col("lang")]
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20)) < share * (1 << 20)
+    buckets = min(buckets, MOST_CELLS // len(languages))
+    learned = [(x, n, min(1.0, fit_rows / counts[x])) for n, x in enumerate(languages)]
+    learned = F.broadcast(spark.createDataFrame(learned, "lang string, which int, share double"))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20)) < F.col("share") * (1 << 20)
 
     def count(batches):
-        number, sums = sent.value, np.zeros((len(sent.value), buckets), np.int64)
+        sums = np.zeros((len(languages), buckets), np.int64)
         for batch in batches:
             for piece in slices(batch, lambda x: x.column("text")):
                 found, at, _ = grams(piece.column("text"), buckets)
-                lang = np.array([number[x] for x in piece.column("lang").to_pylist()], np.int64)
-                lang = np.repeat(lang, np.diff(at))
+                lang = np.repeat(piece.column("which").to_numpy().astype(np.int64), np.diff(at))
                 inside = found < buckets
                 np.add.at(sums.reshape(-1), lang[inside] * buckets + found[inside], 1)
         which, bucket = np.nonzero(sums)
         columns = [pa.array(x) for x in (which.astype(np.int32), bucket.astype(np.int32), sums[which, bucket])]
         yield pa.RecordBatch.from_arrays(columns, ["which", "bucket", "n"])
 
-    parts = rows.filter(drawn).select("text", "lang").mapInArrow(count, "which int, bucket int, n long")
+    parts = rows.join(learned, "lang").filter(drawn).select("text", "which").mapInArrow(count, "which int, bucket int, n long")
     sums = parts.groupBy("which", "bucket").agg(F.sum("n").alias("n")).toArrow()
     matrix = np.full((len(languages), buckets), smoothing)
     matrix[sums["which"].to_numpy(), sums["bucket"].to_numpy()] += sums["n"].to_numpy()

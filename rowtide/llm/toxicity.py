@@ -57,25 +57,26 @@ def segments(values: list[float], at: list[int], drift: float) -> list[tuple[int
 
     Word ``at[i]`` scores ``values[i] - drift``, every other word ``-drift``. Segments are kept with the
     sums before and after them; a new word joins the nearest earlier segment that began lower, for as
-    long as that one ended lower too.
+    long as that one ended lower too. Each segment keeps a link to its own nearest lower one, so that a search passes
+    over all that began higher than one it has passed, and the time is linear in the words.
     """
-    found: list[list] = []
+    found: list[tuple] = []
     total, seen = 0.0, 0
     for value, place in zip(values, at, strict=True):
         total -= drift * (place - seen)
         before, total = total, total + value - drift
         seen = place + 1
-        new = [place, place + 1, before, total]
+        begin, low, back = place, before, len(found) - 1
         while True:
-            back = len(found) - 1
-            while back >= 0 and found[back][2] >= new[2]:
-                back -= 1
-            if back < 0 or found[back][3] >= new[3]:
-                found.append(new)
+            while back >= 0 and found[back][2] >= low:
+                back = found[back][4]
+            if back < 0 or found[back][3] >= total:
+                found.append((begin, seen, low, total, back))
                 break
-            new = [found[back][0], new[1], found[back][2], new[3]]
+            begin, _, low, _, link = found[back]
             del found[back:]
-    return [(begin, end, high - low) for begin, end, low, high in found]
+            back = link
+    return [(begin, end, high - low) for begin, end, low, high, _ in found]
 
 
 @dataclass
@@ -89,7 +90,8 @@ class Model:
     offset: float = 0.0
 
     def evidence(self, column) -> tuple[np.ndarray, list[list[dict]]]:
-        """Evidence and significant passages of each text. Without a passage the evidence is least."""
+        """Evidence and significant passages of each text. Without a passage the evidence is least. It counts up to
+        ``CEILING``, where the curve is 1 for all purposes: texts beyond it have the same score."""
         word, stem, docs = features(column)
         value = np.maximum(self.scores[word], self.scores[stem])
         places = np.flatnonzero(value)

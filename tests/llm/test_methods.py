@@ -3,7 +3,9 @@
 import os
 import random
 import re
+import time
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 import duckdb
 import numpy as np
@@ -259,10 +261,49 @@ def test_segments_are_maximal():
             return [*split(low, a), (a, b, best[0]), *split(b, high)]
 
         got = toxicity.segments(values, at, 1.0)
+        assert [x[:2] for x in got] == [x[:2] for x in all_maximal(scores)]
         assert max((x[2] for x in got), default=0) == pytest.approx(max((x[2] for x in split(0, size)), default=0))
         assert all(sum(scores[a:b]) == pytest.approx(s) for a, b, s in got)
 
 
+def all_maximal(scores):
+    """Stretches whose every proper prefix and suffix has a positive sum, and that lie in no longer one."""
+    sums = list(accumulate(scores, initial=0.0))
+    good = [
+        (a, b)
+        for a in range(len(scores))
+        for b in range(a + 1, len(scores) + 1)
+        if all(sums[a] < sums[k] for k in range(a + 1, b + 1)) and all(sums[k] < sums[b] for k in range(a, b))
+    ]
+    return [(a, b) for a, b in good if not any((c, d) != (a, b) and c <= a and b <= d for c, d in good)]
+
+
+def test_segments_take_linear_time():
+    size = 200_000
+    falling = [1.0 + (n % 3) / 8 for n in range(size)]  # each sum is lower than all before
+    start = time.perf_counter()
+    assert len(toxicity.segments(falling, list(range(0, 40 * size, 40)), 0.5)) == size
+    random.seed(7)
+    mixed = [random.choice((0.5, 2.0, 7.0)) for _ in range(size)]
+    assert toxicity.segments(mixed, sorted(random.sample(range(4 * size), size)), 1.0)
+    assert time.perf_counter() - start < 4
+
+
+def test_any_number_of_languages(spark, monkeypatch):
+    """More languages have fewer buckets; of too many those with the most rows are learned."""
+    texts = {"aa": "abab baba abba", "zz": "zyzy yzyz zyyz"}
+    found = [(i * 5 + k, text, lang) for i in range(40) for k, (lang, text) in enumerate(texts.items())]
+    found += [(1000 + i, f"qx{i} rt{i}", f"l{i:04d}") for i in range(3000)]
+    docs = spark.createDataFrame(found, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert len(model.languages) == 3002 and model.buckets * 3002 <= language.MOST_CELLS
+    assert model.matrix.shape == (3002, model.buckets + 1)
+    names, _ = model.predict(pa.array(["abba abab", "yzyz", "", None]))
+    assert names == ["aa", "zz", "und", "und"]
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 3)
+    assert language.fit(docs).languages == ["aa", "l0000", "zz"]
+
+
 def test_held_out_accuracy(spark, docs):
     got = language.identified(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
     assert (got.lang == got.lang_pred).mean() > 0.97
