@@ -6,6 +6,10 @@ in opposite order (the largest sum of one with the smallest of the other), and s
 The partitions that are left of up to ``FAN`` buckets are combined in the same way in the next level, until a
 single one is: a tree of tasks of bounded size. What a level decides is a small table that maps the slots of
 a bucket to the slots of its parent.
+
+Buckets that are even by themselves cannot make room for a group that is large beside a bucket. Groups of more than a
+shard's share of a bucket are therefore put on shards first, by the same steps, and every bucket of the others
+starts from its part of their sums: one more partial partition, whose columns say which shard a slot is.
 """
 
 from __future__ import annotations
@@ -56,16 +60,20 @@ def difference(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return final, sums[-1]
 
 
-def _bucketed(groups: DataFrame, buckets: int, shards: int) -> DataFrame:
-    """First level: ``key, bucket, slot`` and its ``bytes``, packed by one task per bucket."""
+def _bucketed(groups: DataFrame, buckets: int, shards: int, seeds: np.ndarray | None = None) -> DataFrame:
+    """First level: ``key, bucket, slot`` and its ``bytes``, packed by one task per bucket. With ``seeds``, what
+    the shards hold already, every bucket evens out its part of them, and slots are shards."""
     rows = groups.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
 
     def level(table: pa.Table) -> pa.Table:
         table = table.sort_by([("bytes", "descending"), ("key", "ascending")])
         parts = np.zeros((len(table), shards), np.int64)
         parts[:, 0] = table.column("bytes").to_numpy()
+        if seeds is not None:
+            parts = np.vstack([parts, seeds // buckets])
         final, _ = difference(parts)
-        return table.append_column("slot", pa.array(final[:, 0]))
+        slot = final[: len(table), 0]
+        return table.append_column("slot", pa.array(slot if seeds is None else np.argsort(final[-1])[slot]))
 
     return rows.groupBy("bucket").applyInArrow(level, "key binary, bytes long, bucket long, slot long")
 
@@ -88,8 +96,19 @@ def _combined(sums: DataFrame, shards: int) -> DataFrame:
 
 def shares(groups: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``key`` and ``shard`` (0 to ``shards`` - 1) of groups with columns ``key`` (binary) and ``bytes``."""
-    count = groups.count()
+    count, total = groups.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     buckets = max(1, -(-count // BUCKET))
+    if buckets > 1:
+        # At least four times the mean, so that these are ever fewer.
+        bound = max(total // (shards * buckets), 4 * total // count)
+        large, _ = kept(groups.filter(F.col("bytes") > bound), "large")
+        if not large.isEmpty():
+            first, _ = kept(shares(large, shards).join(large, "key"), "first")
+            seeds = np.zeros(shards, np.int64)
+            for row in first.groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect():  # a row for each shard
+                seeds[row["shard"]] = row["bytes"]
+            rest = _bucketed(groups.filter(F.col("bytes") <= bound), buckets, shards, seeds)
+            return first.select("key", "shard").unionByName(rest.select("key", F.col("slot").cast("int").alias("shard")))
     placed, _ = kept(_bucketed(groups, buckets, shards), "placed")
     sums = placed.groupBy(F.col("bucket").alias("part"), "slot").agg(F.sum("bytes").alias("bytes"))
     where = None

@@ -234,6 +234,27 @@ def test_shards_over_levels(spark, docs, monkeypatch):
         assert sorted(rows.slot) == list(range(len(rows)))
 
 
+@pytest.mark.parametrize("large", [[2.0], [0.9, 0.9, 0.7], [3.0, 1.5, 0.8, 0.5, 0.2]])
+def test_large_groups_over_buckets(spark, monkeypatch, large):
+    """Groups of so many mean shards of the others: those above the mean stand alone, the rest is even."""
+    monkeypatch.setattr(sharding, "BUCKET", 500)
+    random.seed(8)
+    sizes = [random.randint(8, 4000) for _ in range(4000)]
+    mean = sum(sizes) / 24
+    sizes += [int(mean * x) for x in large]
+    groups = spark.createDataFrame([(str(n).encode(), x) for n, x in enumerate(sizes)], "key binary, bytes long")
+    got = sharding.shares(groups).join(groups, "key").toPandas()
+    assert len(got) == len(sizes) and got.key.nunique() == len(sizes)
+    sums = sorted(got.groupby("shard").bytes.sum(), reverse=True)
+    left, alone = sum(sizes), 0
+    for size in sorted(sizes, reverse=True):  # above the mean of what is left: a shard of its own
+        if size * (24 - alone) <= left:
+            break
+        left, alone = left - size, alone + 1
+    assert sums[:alone] == sorted(sizes, reverse=True)[:alone]
+    assert len(sums) == 24 and sums[alone] - sums[-1] <= 0.01 * mean
+
+
 def test_cascade_is_exact_over_segments(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "MOST_BITS", 1 << 13)
     keys = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 5 == 0).alias("listed"))
