@@ -1,12 +1,13 @@
 """Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, connected groups.
 
-1. One pass cuts texts into lines and gives each normalised line (its words, one blank apart) a 128-bit key
-   and a 64-bit SimHash of its words, weighted by length. Equal lines become one.
-2. Two SimHashes within ``DISTANCE`` bits agree on all bits of some ``BLOCKS - DISTANCE`` of ``BLOCKS``
-   blocks. Lines meet on each such choice of blocks; in a task those within the distance are linked.
-3. Lines that hang together so are read again and verified: a link holds if the SimHashes are within the
-   distance and the edit similarity of the lines is ``SIMILARITY`` or more. Lines that hang together already
-   are not compared again.
+1. One pass cuts texts into lines and gives each normalised line (its words, one blank apart) a 128-bit key,
+   a 64-bit SimHash of its words, weighted by length, and the SimHashes of its parts: up to ``PARTS`` runs of
+   words of even length, of ``WORDS`` words or more. Equal lines become one.
+2. The parts are the pigeonhole blocks: of two lines that differ in fewer places than they have parts, some part
+   is the same. Lines meet on each of their parts, wherever it stands; in a task those whose SimHashes are
+   within ``DISTANCE`` bits are linked.
+3. Lines that hang together so are read again and verified: a link holds if the edit similarity of the lines is
+   ``SIMILARITY`` or more, whatever their SimHashes. Lines that hang together already are not compared again.
 4. Of each connected group the first occurrence stays (least doc_id, then text hash, then line number).
 
 Lines without a word are no occurrence of anything and always stay.
@@ -14,8 +15,6 @@ Lines without a word are no occurrence of anything and always stay.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,13 +24,15 @@ from rowtide.llm.frames import col, drop, halves, kept, whole_groups
 from rowtide.llm.graph import components
 from rowtide.llm.text import BLANK, hash_sequences, hash_spans, lowered, mix, slices, spans, strings
 
-DISTANCE, BLOCKS = 3, 5
+PARTS, WORDS, DISTANCE = 12, 3, 20
 SIMILARITY = 0.8
 #: Most lines of a bucket, and characters of a group, that one task compares at once. A line counts for
 #: at least LIGHT characters.
 BUCKET, GROUP, LIGHT = 4096, 1 << 22, 1024
 #: Sizes of buckets are taken from one line in so many.
 SAMPLED = 64
+#: Counters of character pairs that lines are compared by before their edit distance is computed.
+PAIRS = 512
 #: A word weighs as many as its bytes, at most so many.
 HEAVY = 8
 
@@ -52,26 +53,38 @@ def _cut(column):
 PAIR = np.uint64(1 << 32 | 1)
 
 
-def simhash(hashes: np.ndarray, weights: np.ndarray, lines: np.ndarray) -> np.ndarray:
-    """For each line with a word: the bits that words of more than half its weight have."""
-    starts = lines[:-1][np.diff(lines) > 0]
-    out = np.zeros(len(starts), np.uint64)
-    if not len(starts):
-        return out
+def simhash(hashes: np.ndarray, weights: np.ndarray, parts: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bits that words of more than half the weight have, for each part and for each line. ``parts`` are where
+    parts begin among the words, ``lines`` where lines begin among the parts; none is empty."""
+    one, all_ = np.zeros(len(parts), np.uint64), np.zeros(len(lines), np.uint64)
+    if not len(lines):
+        return one, all_
     weights = weights.astype(np.uint64)
-    whole = np.add.reduceat(weights, starts)
+    whole = np.add.reduceat(weights, parts)
+    whole_line = np.add.reduceat(whole, lines)
+    low, high = np.uint64(0xFFFFFFFF), np.uint64(32)
     for bit in range(32):
-        shift, high = np.uint64(bit), np.uint64(32)
-        sums = np.add.reduceat((hashes >> shift & PAIR) * weights, starts)
-        out |= (2 * (sums & np.uint64(0xFFFFFFFF)) > whole).astype(np.uint64) << shift
-        out |= (2 * (sums >> high) > whole).astype(np.uint64) << shift + high
-    return out
+        shift = np.uint64(bit)
+        sums = np.add.reduceat((hashes >> shift & PAIR) * weights, parts)
+        for out, counted, most in ((one, sums, whole), (all_, np.add.reduceat(sums, lines), whole_line)):
+            out |= (2 * (counted & low) > most).astype(np.uint64) << shift
+            out |= (2 * (counted >> high) > most).astype(np.uint64) << shift + high
+    return one, all_
+
+
+def parted(begins: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the parts of lines of ``counts`` words begin, and where each line begins among the parts (and ends)."""
+    many = np.clip(counts // WORDS, 1, PARTS)
+    lines = np.concatenate([[0], np.cumsum(many)])
+    number = np.arange(lines[-1]) - np.repeat(lines[:-1], many)
+    return np.repeat(begins, many) + number * np.repeat(counts, many) // np.repeat(many, many), lines
 
 
 def lines_of(documents: DataFrame) -> DataFrame:
-    """A row per line with a word: ``doc_id, text_id, line`` (from 0), ``a, b`` (its key), ``sim``, ``size``."""
+    """A row per line with a word: ``doc_id, text_id, line`` (from 0), ``a, b`` (its key), ``sim``, ``parts``,
+    ``size``."""
     rows = documents.select(col("doc_id").alias("doc_id"), col("text").alias("text"), F.xxhash64(col("text")).alias("text_id"))
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_id long, line long, a long, b long, sim long, size long"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_id long, line long, a long, b long, sim long, parts array<long>, size long"
 
     def cut(batches):
         for batch in batches:
@@ -81,7 +94,8 @@ def lines_of(documents: DataFrame) -> DataFrame:
                 hashes = hash_spans(low, start, end)
                 lines = np.searchsorted(start, bounds)
                 some = np.flatnonzero(np.diff(lines))
-                sim = simhash(hashes, np.minimum(end - start, HEAVY), lines)
+                parts, of_line = parted(lines[some], np.diff(lines)[some])
+                one, sim = simhash(hashes, np.minimum(end - start, HEAVY), parts, of_line[:-1])
                 keys = [hash_sequences(x, lines)[some].astype(np.int64) for x in (hashes, mix(hashes + np.uint64(1)))]
                 size = np.add.reduceat(end - start + 1, lines[some]) - 1 if len(some) else some
                 doc = np.searchsorted(first, some, "right") - 1
@@ -90,35 +104,30 @@ def lines_of(documents: DataFrame) -> DataFrame:
                     piece.column("text_id").take(pa.array(doc)),
                     pa.array(some - first[doc]),
                     *map(pa.array, keys),
-                    pa.array(sim.astype(np.int64)),
+                    pa.array(sim.view(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(of_line.astype(np.int32)), pa.array(one.view(np.int64))),
                     pa.array(size.astype(np.int64)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_id", "line", "a", "b", "sim", "size"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_id", "line", "a", "b", "sim", "parts", "size"])
 
     return rows.mapInArrow(cut, schema)
 
 
-def _masks() -> list[int]:
-    """For each choice of blocks, the bits of a SimHash that are in them."""
-    edges = [64 * n // BLOCKS for n in range(BLOCKS + 1)]
-    block = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:], strict=False)]
-    masks = [sum(x) for x in combinations(block, BLOCKS - DISTANCE)]
-    return [x - (1 << 64) if x >> 63 else x for x in masks]
+def _near(sims: np.ndarray):
+    """Those of other rows whose SimHashes are within the distance of a row's."""
+    return lambda row, others: others[np.bitwise_count(sims[others] ^ sims[row]) <= DISTANCE]
 
 
-def _close(sims: np.ndarray, row: int, others: np.ndarray) -> np.ndarray:
-    return others[np.bitwise_count(sims[others] ^ sims[row]) <= DISTANCE]
-
-
-def link(sims: np.ndarray, side: np.ndarray, same=None) -> list[tuple[int, int]]:
-    """Links that join what is within the distance (and the ``same``), each joining two parts."""
-    label, links = np.arange(len(sims)), []
+def link(side: np.ndarray, near, same=None) -> list[tuple[int, int]]:
+    """Links between rows that are ``near`` (and the ``same``), each joining two groups. If there are rows of two
+    sides, only rows of different sides are compared."""
+    label, links = np.arange(len(side)), []
     apart = side.min() != side.max()
-    for row in range(len(sims)):
+    for row in range(len(side)):
         others = np.flatnonzero(label != label[row])
         if apart:
             others = others[side[others] != side[row]]
-        for x in _close(sims, row, others).tolist():
+        for x in near(row, others).tolist():
             if label[x] != label[row] and (same is None or same(row, x)):
                 links.append((row, x))
                 label[label == label[x]] = label[row]
@@ -131,10 +140,9 @@ def _key(rows: pa.Table, at: list[int]) -> pa.StructArray:
 
 
 def candidates(lines: DataFrame) -> DataFrame:
-    """Links between lines whose SimHashes are within the distance."""
+    """Links between lines that share a part and whose SimHashes are within the distance."""
     spark = lines.sparkSession
-    blocks = [F.xxhash64(F.lit(n), F.col("sim").bitwiseAND(F.lit(mask))) for n, mask in enumerate(_masks())]
-    places = lines.select(F.explode(F.array(*blocks)).alias("block"), "sim", "a", "b")
+    places = lines.select(F.explode(F.array_distinct("parts")).alias("block"), "sim", "a", "b")
     part = F.pmod(F.xxhash64("a", "b", F.lit("sample")), F.lit(SAMPLED)) == 0
     sampled = places.filter(part).groupBy("block").agg((F.count("*") * SAMPLED).alias("size"))
     # Small enough for Spark to broadcast, or else joined otherwise: a row per bucket with many lines.
@@ -154,21 +162,22 @@ def candidates(lines: DataFrame) -> DataFrame:
             found = list(zip(close.tolist(), (close + 1).tolist(), strict=True))
             for begin, n in zip(begins[size > 2].tolist(), size[size > 2].tolist(), strict=True):
                 own = slice(begin, begin + n)
-                found.extend((begin + a, begin + b) for a, b in link(sims[own], mine[own]))
+                found.extend((begin + a, begin + b) for a, b in link(mine[own], _near(sims[own])))
             columns = [_key(rows, [pair[k] for pair in found]) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, ["low", "high"])
 
     return placed.mapInArrow(meet, f"low {KEY}, high {KEY}")
 
 
-def distance(a: str, b: str) -> int:
-    """Levenshtein distance; the rows of the table are the bits of whole numbers."""
-    low, most = 0, min(len(a), len(b))
-    while low < most and a[low] == b[low]:
+def distance(a: str, b: str, most: float = float("inf")) -> float:
+    """Levenshtein distance; the rows of the table are the bits of whole numbers. Once it must be beyond ``most``,
+    infinity."""
+    low, shorter = 0, min(len(a), len(b))
+    while low < shorter and a[low] == b[low]:
         low += 1
     a, b = a[low:], b[low:]
-    tail, most = 0, min(len(a), len(b))
-    while tail < most and a[-1 - tail] == b[-1 - tail]:
+    tail, shorter = 0, min(len(a), len(b))
+    while tail < shorter and a[-1 - tail] == b[-1 - tail]:
         tail += 1
     a, b = a[: len(a) - tail], b[: len(b) - tail]
     if not a or not b:
@@ -178,7 +187,9 @@ def distance(a: str, b: str) -> int:
         where[letter] = where.get(letter, 0) | 1 << n
     every, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
     up, down, score = every, 0, len(a)
-    for letter in b:
+    for left_over, letter in zip(range(len(b), 0, -1), b, strict=True):
+        if score - left_over > most:
+            return float("inf")
         match = where.get(letter, 0)
         diagonal = ((((match & up) + up) ^ up) | match | down) & every
         right = down | (every & ~(diagonal | up))
@@ -189,26 +200,51 @@ def distance(a: str, b: str) -> int:
     return score
 
 
+def most_edits(size: int, least: float = SIMILARITY) -> float:
+    """Edits that leave two lines similar, of which the longer has ``size`` characters."""
+    return (1 - least) * size + 1e-9
+
+
 def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
-    longest = max(len(a), len(b))
-    if abs(len(a) - len(b)) > (1 - least) * longest + 1e-9:
-        return False
-    return distance(a, b) <= (1 - least) * longest + 1e-9
+    most = most_edits(max(len(a), len(b)), least)
+    return abs(len(a) - len(b)) <= most and distance(a, b, most) <= most
+
+
+def profiles(lines: list[str]) -> np.ndarray:
+    """Counts of hashed pairs of neighbouring characters of each line. An edit changes four of them at most."""
+    out = np.zeros((len(lines), PAIRS), np.int32)
+    for row, line in enumerate(lines):
+        letters = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+        out[row] = np.bincount((letters[:-1] * np.uint32(31) + letters[1:] * np.uint32(7919)) % np.uint32(PAIRS), minlength=PAIRS)
+    return out
+
+
+def _alike(lines: list[str]):
+    """Those of other lines that may be similar to a line: no similar one is left out."""
+    counts, sizes = profiles(lines), np.array([len(x) for x in lines])
+
+    def near(row, others):
+        most = most_edits(np.maximum(sizes[others], sizes[row]))
+        held = np.abs(sizes[others] - sizes[row]) <= most
+        others, most = others[held], most[held]
+        return others[np.abs(counts[others] - counts[row]).sum(axis=1) <= 4 * most]
+
+    return near
 
 
 def verified(documents: DataFrame, lines: DataFrame, groups: DataFrame) -> DataFrame:
-    """Links between lines that are within the distance and similar."""
+    """Links between lines that are similar."""
     spark = documents.sparkSession
     id_ = F.struct("a", "b")
-    picked = lines.select(id_.alias("id"), "a", "b", "sim", "size", "first").join(groups, "id")
+    picked = lines.select(id_.alias("id"), "a", "b", "size", "first").join(groups, "id")
     size = F.sum(F.greatest("size", F.lit(LIGHT))).alias("group_size")
     picked = picked.join(picked.groupBy("component").agg(size), "component")
-    each = F.collect_list(F.struct(F.col("first.line").alias("line"), "a", "b", "sim", "component", "group_size")).alias("wanted")
+    each = F.collect_list(F.struct(F.col("first.line").alias("line"), "a", "b", "component", "group_size")).alias("wanted")
     wanted = picked.groupBy(F.col("first.doc_id").alias("own"), F.col("first.text_id").alias("own_text")).agg(each)
     texts = documents.select(col("doc_id").alias("doc_id"), col("text").alias("text"))
     same = F.col("doc_id").eqNullSafe(F.col("own")) & (F.xxhash64("text") == F.col("own_text"))
     found = texts.join(wanted, same).select("text", "wanted")
-    schema = f"component {KEY}, group_size long, a long, b long, sim long, line string"
+    schema = f"component {KEY}, group_size long, a long, b long, line string"
 
     def read(batches):
         for batch in batches:
@@ -220,23 +256,23 @@ def verified(documents: DataFrame, lines: DataFrame, groups: DataFrame) -> DataF
                         at = first[row] + x["line"]
                         words = low[bounds[at] : bounds[at + 1]].tobytes().split()
                         line = b" ".join(words).decode("utf-8", "replace")
-                        out.append((x["component"], x["group_size"], x["a"], x["b"], x["sim"], line))
+                        out.append((x["component"], x["group_size"], x["a"], x["b"], line))
                 kind = pa.struct([("a", pa.int64()), ("b", pa.int64())])
-                kinds = [kind, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+                kinds = [kind, pa.int64(), pa.int64(), pa.int64(), pa.string()]
                 columns = [pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays(columns, ["component", "group_size", "a", "b", "sim", "line"])
+                yield pa.RecordBatch.from_arrays(columns, ["component", "group_size", "a", "b", "line"])
 
     read_lines = found.mapInArrow(read, schema)
-    once = read_lines.groupBy("a", "b", "component", "group_size", "sim").agg(F.first("line").alias("line"))
+    once = read_lines.groupBy("a", "b", "component", "group_size").agg(F.first("line").alias("line"))
     dealt = halves(once.withColumn("id", id_), "id", "group_size", GROUP)
     unit = ["ca", "cb", "low_block", "high_block"]
     dealt = dealt.withColumn("ca", F.col("component.a")).withColumn("cb", F.col("component.b"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.select(*unit, "mine", "a", "b", "sim", "line").repartition(parts, *unit).sortWithinPartitions(*unit, "a", "b")
+    dealt = dealt.select(*unit, "mine", "a", "b", "line").repartition(parts, *unit).sortWithinPartitions(*unit, "a", "b")
 
     def check(batches):
         for rows, starts in whole_groups(batches, *unit):
-            sims, mine = rows.column("sim").to_numpy().view(np.uint64), rows.column("mine").to_numpy()
+            mine = rows.column("mine").to_numpy()
             lines, out = rows.column("line").to_pylist(), []
             for begin, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 if end - begin < 2:
@@ -245,7 +281,7 @@ def verified(documents: DataFrame, lines: DataFrame, groups: DataFrame) -> DataF
                 def same(a, b, begin=begin):
                     return similar(lines[begin + a], lines[begin + b])
 
-                out.extend((begin + a, begin + b) for a, b in link(sims[begin:end], mine[begin:end], same))
+                out.extend((begin + a, begin + b) for a, b in link(mine[begin:end], _alike(lines[begin:end]), same))
             yield pa.RecordBatch.from_arrays([_key(rows, [pair[k] for pair in out]) for k in (0, 1)], ["low", "high"])
 
     return dealt.mapInArrow(check, f"low {KEY}, high {KEY}")
@@ -257,7 +293,8 @@ def line_groups(documents: DataFrame) -> DataFrame:
     rows, _ = kept(lines_of(documents), "lines")
     first = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_id", "line")
     lines = rows.groupBy("a", "b").agg(
-        F.min(first).alias("first"), F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("size").alias("size")
+        F.min(first).alias("first"), F.count("*").alias("n"), F.first("sim").alias("sim"),
+        F.first("parts").alias("parts"), F.first("size").alias("size"),
     )
     lines, lines_at = kept(lines, "distinct")
     groups, groups_at = components(candidates(lines))

@@ -138,22 +138,53 @@ def test_fuzzy_lines_against_all_pairs(spark, docs):
     values = {i: (t or "").split("\n") for i, t in few.select("doc_id", "text").collect()}
     cut["line_text"] = [" ".join(words(values[i][n])) for i, n in zip(cut.doc_id, cut.line, strict=True)]
     once = cut.sort_values(["doc_id", "line"]).drop_duplicates("line_text").reset_index(drop=True)
-    sims, parent = once.sim.to_numpy().astype(np.uint64), list(range(len(once)))
+    parent, pairs = list(range(len(once))), []
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for i in range(len(once)):
-        for j in (np.flatnonzero(np.bitwise_count(sims[i + 1 :] ^ sims[i]) <= lines.DISTANCE) + i + 1).tolist():
-            if lines.similar(once.line_text[i], once.line_text[j]):
-                a, b = find(i), find(j)
-                parent[max(a, b)] = min(a, b)
-    want = {once.line_text[i]: (once.doc_id[find(i)], once.line[find(i)]) for i in range(len(once))}
+    near = lines._alike(list(once.line_text))  # leaves out no similar line, as the test below shows
+    for i, a in enumerate(once.line_text):
+        for j in near(i, np.arange(i + 1, len(once))).tolist():
+            if lines.similar(a, once.line_text[j]):
+                pairs.append((a, once.line_text[j]))
+                low, high = sorted((find(i), find(j)))
+                parent[high] = low
+    least = {once.line_text[i]: find(i) for i in range(len(once))}
     text_of = {(i, n): t for i, n, t in zip(cut.doc_id, cut.line, cut.line_text, strict=True)}
+    group = {}
     for x in lines.line_groups(few).collect():
-        assert (x.keep_doc, x.keep_line) == want[text_of[x.doc_id, x.line]]
+        own, keep = text_of[x.doc_id, x.line], text_of[x.keep_doc, x.keep_line]
+        assert least[own] == least[keep] and group.setdefault(own, keep) == keep
+    assert len(pairs) > 10 and sum(group[a] == group[b] for a, b in pairs) >= 0.9 * len(pairs)
+
+
+def test_lines_changed_in_many_places(spark):
+    """Recall by edit similarity alone: every tenth word of a line is another one, or gone, or a letter is."""
+    random.seed(11)
+    word = lambda: "".join(random.choices("abcdefghijklmnop", k=random.randint(2, 9)))
+    rows, pairs = [], []
+    for n in range(300):
+        line = [word() for _ in range(random.randint(8, 120))]
+        other = [w if random.random() > 0.1 else random.choice(["", word(), w[:-1]]) for w in line]
+        a, b = " ".join(line), " ".join(" ".join(other).split())
+        rows += [(2 * n, a), (2 * n + 1, b)]
+        if lines.similar(a, b):
+            pairs.append(n)
+    got = {x.doc_id: x.keep_doc for x in lines.line_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(keep in (doc, doc - doc % 2) for doc, keep in got.items())
+    assert len(pairs) > 200 and sum(got[2 * n + 1] == 2 * n for n in pairs) >= 0.9 * len(pairs)
+
+
+def test_profiles_lose_no_similar_line():
+    random.seed(12)
+    some = ["".join(random.choices("ab é", k=random.randint(1, 14))) for _ in range(150)]
+    near = lines._alike(some)
+    for i, a in enumerate(some):
+        found = set(near(i, np.arange(len(some))).tolist())
+        assert {j for j, b in enumerate(some) if lines.similar(a, b)} <= found
 
 
 def test_components(spark):
