@@ -5,9 +5,10 @@
    words of even length, of ``WORDS`` words or more. Equal lines become one.
 2. The parts are the pigeonhole blocks: of two lines that differ in fewer places than they have parts, some part
    is the same. Lines meet on each of their parts, wherever it stands; in a task those whose SimHashes are
-   within ``DISTANCE`` bits are linked.
-3. Lines that hang together so are read again and verified: a link holds if the edit similarity of the lines is
-   ``SIMILARITY`` or more, whatever their SimHashes. Lines that hang together already are not compared again.
+   within ``DISTANCE`` bits form clusters, of that meeting only, so that clusters do not chain across parts.
+3. Lines of a cluster are read again and verified: a link holds if the edit similarity of the lines is
+   ``SIMILARITY`` or more, whatever their SimHashes. Lines that hang together already are not compared again, and
+   a cluster that came up at several parts is verified once.
 4. Of each connected group the first occurrence stays (least doc_id, then text hash, then line number).
 
 Lines without a word are no occurrence of anything and always stay.
@@ -32,7 +33,7 @@ BUCKET, GROUP, LIGHT = 4096, 1 << 22, 1024
 #: Sizes of buckets are taken from one line in so many.
 SAMPLED = 64
 #: Counters of character pairs that lines are compared by before their edit distance is computed.
-PAIRS = 512
+PAIRS = 256
 #: A word weighs as many as its bytes, at most so many.
 HEAVY = 8
 
@@ -124,7 +125,7 @@ def link(side: np.ndarray, near, same=None) -> list[tuple[int, int]]:
     label, links = np.arange(len(side)), []
     apart = side.min() != side.max()
     for row in range(len(side)):
-        others = np.flatnonzero(label != label[row])
+        others = row + 1 + np.flatnonzero(label[row + 1 :] != label[row])
         if apart:
             others = others[side[others] != side[row]]
         for x in near(row, others).tolist():
@@ -140,7 +141,8 @@ def _key(rows: pa.Table, at: list[int]) -> pa.StructArray:
 
 
 def candidates(lines: DataFrame) -> DataFrame:
-    """Links between lines that share a part and whose SimHashes are within the distance."""
+    """``id`` of lines and the ``component`` (a cluster) of lines that share a part and whose SimHashes are within the
+    distance. A line may be in several."""
     spark = lines.sparkSession
     places = lines.select(F.explode(F.array_distinct("parts")).alias("block"), "sim", "a", "b")
     part = F.pmod(F.xxhash64("a", "b", F.lit("sample")), F.lit(SAMPLED)) == 0
@@ -159,14 +161,32 @@ def candidates(lines: DataFrame) -> DataFrame:
             begins = starts[:-1]
             two = begins[size == 2]
             close = two[np.bitwise_count(sims[two] ^ sims[two + 1]) <= DISTANCE]
-            found = list(zip(close.tolist(), (close + 1).tolist(), strict=True))
+            found = [[x, x + 1] for x in close.tolist()]
             for begin, n in zip(begins[size > 2].tolist(), size[size > 2].tolist(), strict=True):
                 own = slice(begin, begin + n)
-                found.extend((begin + a, begin + b) for a, b in link(mine[own], _near(sims[own])))
-            columns = [_key(rows, [pair[k] for pair in found]) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, ["low", "high"])
-
-    return placed.mapInArrow(meet, f"low {KEY}, high {KEY}")
+                found.extend(_clusters(begin, link(mine[own], _near(sims[own]))))
+            ends = np.cumsum([0, *map(len, found)])
+            at = np.array([x for one in found for x in one], np.int64)
+            names = []
+            for x in ("a", "b"):
+                spread = mix(rows.column(x).to_numpy().view(np.uint64)[at])
+                names.append(np.add.reduceat(spread, ends[:-1]) if len(found) else spread)
+            cluster = [pa.array(np.repeat(x, np.diff(ends)).view(np.int64)) for x in names]
+            cluster = pa.StructArray.from_arrays(cluster, ["a", "b"])
+            yield pa.RecordBatch.from_arrays([_key(rows, at.tolist()), cluster], ["id", "component"])
+
+    return placed.mapInArrow(meet, f"id {KEY}, component {KEY}").distinct()
+
+
+def _clusters(begin: int, links: list[tuple[int, int]]) -> list[list[int]]:
+    """Rows, counted from ``begin``, that hang together."""
+    of: dict[int, list[int]] = {}
+    for a, b in links:
+        one, other = of.setdefault(a, [a]), of.setdefault(b, [b])
+        small, large = sorted((one, other), key=len)
+        large.extend(small)
+        of.update(dict.fromkeys(small, large))
+    return [[begin + x for x in sorted(one)] for row, one in of.items() if row == min(one)]
 
 
 def distance(a: str, b: str, most: float = float("inf")) -> float:
@@ -212,10 +232,11 @@ def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
 
 def profiles(lines: list[str]) -> np.ndarray:
     """Counts of hashed pairs of neighbouring characters of each line. An edit changes four of them at most."""
-    out = np.zeros((len(lines), PAIRS), np.int32)
+    out = np.zeros((len(lines), PAIRS), np.int16)
     for row, line in enumerate(lines):
         letters = np.frombuffer(line.encode("utf-32-le"), np.uint32)
-        out[row] = np.bincount((letters[:-1] * np.uint32(31) + letters[1:] * np.uint32(7919)) % np.uint32(PAIRS), minlength=PAIRS)
+        counted = np.bincount((letters[:-1] * np.uint32(31) + letters[1:] * np.uint32(7919)) % np.uint32(PAIRS), minlength=PAIRS)
+        out[row] = np.minimum(counted, 1 << 14)
     return out
 
 
@@ -297,7 +318,7 @@ def line_groups(documents: DataFrame) -> DataFrame:
         F.first("parts").alias("parts"), F.first("size").alias("size"),
     )
     lines, lines_at = kept(lines, "distinct")
-    groups, groups_at = components(candidates(lines))
+    groups, groups_at = kept(candidates(lines), "clusters")
     joined, joined_at = components(verified(documents, lines, groups))
     id_ = F.struct("a", "b").alias("id")
     member = lines.select(id_, "first", "n").join(joined, "id")
