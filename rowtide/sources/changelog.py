@@ -12,15 +12,15 @@ from rowtide.sources.batches import Batches
 OLDEST_FIRST = ["changed_at", "change_id"]
 #: Microseconds of a day.
 DAY = 86_400_000_000
-#: Ids in a bitmap (fixed by Spark's functions).
-BLOCK = 32_768
+#: Ids in a block (fixed by Spark's functions), and in a word of its bitmap.
+BLOCK, WORD = 32_768, 64
 
 
 class SentLog:
     """Which changes have reached the topic, as bitmaps; the log itself is never updated.
 
-    A bitmap is of one day of changes and of one block of ids, so a change costs a bit where ids are given in order. Each
-    mark adds bitmaps; ``close`` folds those of finished days into one for each block and sets them aside, and from
+    A bitmap is of one day of changes and of one block of ids, kept as those of its words that have a bit set: a change
+    costs a few bits where ids are given in order, and never more than a word of its own. Each mark adds bitmaps; ``close`` folds those of finished days into one for each block and sets them aside, and from
     then on neither they nor the days' part of the log are read.
     """
 
@@ -56,31 +56,67 @@ class SentLog:
         self.marks.drop(old)
 
 
-MARKS_SCHEMA = "day long, block long, bits binary"
+#: ``bits`` is a whole bitmap, as stores have it that were written before bitmaps were kept by words.
+MARKS_SCHEMA = "day long, block long, words array<struct<word: int, bits: bigint>>, bits binary"
+_PLACE = ("day", "block", "word")
 
 
 def marks_of(changes: DataFrame) -> DataFrame:
-    """Bitmaps of the ids of changes, for each day and block of ids. Tasks send bitmaps, not ids."""
-    placed = changes.select(day(F.col("changed_at")).alias("day"), F.col("change_id").cast("long").alias("id"))
-    bits = F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits")
-    return placed.groupBy("day", F.bitmap_bucket_number("id").alias("block")).agg(bits)
+    """Bitmaps of the ids of changes, for each day and block of ids. Tasks send words of bitmaps, not ids."""
+    return _by_block(_words_of(changes))
 
 
 def merged(marks: DataFrame) -> DataFrame:
-    return marks.groupBy("day", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return _by_block(_words(marks))
 
 
 def marked_ids(marks: DataFrame) -> DataFrame:
     """``change_id`` and ``day`` of every bit that is set, for ids above 0."""
-    bit = F.col("bit").cast("long")
-    each = merged(marks).select("*", F.explode(F.sequence(F.lit(0), F.lit(BLOCK - 1))).alias("bit"))
-    return each.filter(_is_set(F.col("bits"), bit)).select(((F.col("block") - 1) * BLOCK + bit + 1).alias("change_id"), "day")
+    place = F.col("word") * WORD + F.col("bit")
+    each = _merged_words(_words(marks)).select("*", F.explode(F.sequence(F.lit(0), F.lit(WORD - 1))).alias("bit"))
+    each = each.filter(_is_set(F.col("bits"), place))
+    return each.select(((F.col("block") - 1) * BLOCK + place + 1).alias("change_id"), "day")
+
+
+def _bit(place: Column) -> Column:
+    """The word with the bit of a place set. Bits count from the low end of each byte and bytes from the high end of the
+    word, as in Spark's bitmaps."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (place % WORD).cast("int").bitwiseXOR(F.lit(WORD - 8)))
 
 
 def _is_set(bits: Column, place: Column) -> Column:
-    """Whether the bit at a place of a bitmap is set; bits count from the low end of each byte."""
-    byte = F.conv(F.hex(F.substring(bits, (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
-    return F.getbit(byte, (place % 8).cast("int")) == 1
+    return bits.bitwiseAND(_bit(place)) != 0
+
+
+def _word(place: Column) -> Column:
+    return F.floor(place / WORD).cast("int")
+
+
+def _words_of(changes: DataFrame) -> DataFrame:
+    """One word with one bit for each change that has an id."""
+    placed = changes.select(day(F.col("changed_at")).alias("day"), F.col("change_id").cast("long").alias("id"))
+    place = F.bitmap_bit_position("id")
+    block = F.bitmap_bucket_number("id").alias("block")
+    return placed.filter("id IS NOT NULL").select("day", block, _word(place).alias("word"), _bit(place).alias("bits"))
+
+
+def _words(marks: DataFrame) -> DataFrame:
+    """The words of bitmaps, a row each."""
+    words = F.col("words")
+    if "bits" in marks.columns:
+        taken = lambda n: F.conv(F.hex(F.substring(F.col("bits"), n * (WORD // 8) + 1, F.lit(WORD // 8))), 16, -10)
+        each = lambda n: F.struct(n.alias("word"), taken(n).cast("long").alias("bits"))
+        whole = F.transform(F.sequence(F.lit(0), F.lit(BLOCK // WORD - 1)), each)
+        words = F.coalesce(words, F.filter(whole, lambda x: x["bits"] != 0))
+    return marks.select("day", "block", F.inline(words))
+
+
+def _merged_words(words: DataFrame) -> DataFrame:
+    return words.groupBy(*_PLACE).agg(F.bit_or("bits").alias("bits"))
+
+
+def _by_block(words: DataFrame) -> DataFrame:
+    return _merged_words(words).groupBy("day", "block").agg(F.collect_list(F.struct("word", "bits")).alias("words"))
 
 
 def day(at: Column) -> Column:
@@ -103,16 +139,16 @@ def in_open_days(changelog: DataFrame, marks: DataFrame) -> tuple[DataFrame, Dat
     """The log and the marks of the days that have waiting changes.
 
     A day is finished if every waiting change in the log has its bit in the marks; a change that commits late opens its day
-    again, however old, unless the day is closed. That takes one pass over ids and days, which sends bitmaps. One row per
+    again, however old, unless the day is closed. That takes one pass over ids and days, which sends words of bitmaps. One row per
     day comes to the driver, and the filters made of them reach both scans. Changes without a
     time are always compared.
     """
     at = F.col("changed_at")
-    waiting = marks_of(changelog.filter(~F.col("processed"))).withColumn("sent", F.lit(None).cast("binary"))
-    both = waiting.unionByName(marks.withColumn("sent", F.col("bits")))
-    blocks = both.groupBy("day", "block").agg(F.bitmap_or_agg("bits").alias("bits"), F.bitmap_or_agg("sent").alias("sent"))
-    open_ = F.bitmap_count("bits") > F.bitmap_count("sent")
-    found = [r["day"] for r in blocks.filter(F.col("day").isNotNull() & open_).select("day").distinct().collect()]
+    waiting = _words_of(changelog.filter(~F.col("processed"))).withColumn("sent", F.lit(None).cast("long"))
+    both = waiting.unionByName(_words(marks).withColumn("sent", F.col("bits")))
+    words = both.groupBy(*_PLACE).agg(F.bit_or("bits").alias("bits"), F.coalesce(F.bit_or("sent"), F.lit(0)).alias("sent"))
+    open_ = F.col("day").isNotNull() & (F.col("bits") != F.col("sent"))
+    found = [r["day"] for r in words.filter(open_).select("day").distinct().collect()]
     if not found:
         return changelog.filter(at.isNull()), marks.filter("day IS NULL")
     # Two filters, as a source takes only the one without a computed day.
@@ -129,15 +165,16 @@ def captured(changelog: DataFrame, tables: Iterable[str]) -> DataFrame:
 
 def _with_sent(changelog: DataFrame, sent: DataFrame) -> DataFrame:
     """The log with ``_sent``; ``sent`` holds marks, or plain ids as ``change_id``."""
-    if "bits" not in sent.columns:
+    if "words" not in sent.columns:
         done = sent.select("change_id").distinct().withColumn("_done", F.lit(True))
         joined = changelog.join(done, "change_id", "left")
         return joined.select(*changelog.columns, F.col("_done").isNotNull().alias("_sent"))
-    marks = merged(sent).select(F.col("day").alias("_day"), F.col("block").alias("_block"), F.col("bits").alias("_bits"))
+    marks = _merged_words(_words(sent)).select(*[F.col(c).alias(f"_{c}") for c in (*_PLACE, "bits")])
     id_ = F.col("change_id").cast("long")
+    place = F.bitmap_bit_position(id_)
     same = day(F.col("changed_at")).eqNullSafe(F.col("_day")) & (F.bitmap_bucket_number(id_) == F.col("_block"))
-    bit = F.coalesce(_is_set(F.col("_bits"), F.bitmap_bit_position(id_)), F.lit(False))
-    return changelog.join(marks, same, "left").select(*changelog.columns, bit.alias("_sent"))
+    found = F.coalesce(_is_set(F.col("_bits"), place), F.lit(False)).alias("_sent")
+    return changelog.join(marks, same & (_word(place) == F.col("_word")), "left").select(*changelog.columns, found)
 
 
 def with_processed(changelog: DataFrame, sent: DataFrame) -> DataFrame:

@@ -130,6 +130,35 @@ def test_ids_far_apart_and_block_borders(spark):
     assert rows(with_processed(log, marks).filter("processed"), "change_id") == sorted([(x,) for x in ids], key=str)
 
 
+def test_marks_of_ids_far_apart_hold_little(spark, tmp_path):
+    # Each change is the only one of its day and block.
+    log = simple(spark, 1).select("*", F.explode(F.sequence(F.lit(1), F.lit(300))).alias("n"))
+    log = log.withColumns({"change_id": F.col("n") * 32_768, "changed_at": F.col("changed_at") + F.make_dt_interval("n")}).drop("n")
+    marks = marks_of(log)
+    assert marks.count() == 300
+    # Whole bitmaps have 4 KB each.
+    marks.cache().count()
+    held = marks._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    marks.unpersist()
+    assert held < 300 * 400
+    assert pending(*in_open_days(log, marks)).isEmpty()
+
+
+def test_marks_of_older_stores(spark, tmp_path):
+    ids = [1, 2, 63, 64, 65, 32_768, 32_769, 65_537, 10**12, 0, -1, -40_000]
+    log = simple(spark, *ids, 7, 32_770, -2)
+    day_, id_ = F.lit(20089).cast("long").alias("day"), F.col("change_id")
+    whole = log.filter(id_.isin(ids)).groupBy(day_, F.bitmap_bucket_number(id_).alias("block"))
+    sent = SentLog(spark, str(tmp_path / "s"))
+    sent.marks.write(whole.agg(F.bitmap_construct_agg(F.bitmap_bit_position(id_)).alias("bits")))
+    log = log.withColumn("changed_at", F.timestamp_seconds(day_ * 86_400))
+    assert rows(pending(*in_open_days(log, sent.read())), "change_id") == [(-2,), (32_770,), (7,)]
+    sent.mark(log)
+    assert pending(*in_open_days(log, sent.read())).isEmpty()
+    sent.close(20090)
+    assert rows(with_processed(log, sent.read_all()).select("processed").distinct()) == [(True,)]
+
+
 def test_closed_days_are_not_read(spark, tmp_path):
     path, sent = str(tmp_path / "log"), SentLog(spark, str(tmp_path / "s"))
     topic = Topic(spark, str(tmp_path / "t"), "users")
